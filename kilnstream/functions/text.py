@@ -1,32 +1,42 @@
-"""Text expressions: lot repair, asset ids, padding."""
+"""Text expressions: lot repair, asset ids, padding.
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+Like all of ``functions``, these take and return SQL expression text.  A plan
+may hold an expression per tag of the master; as text, each costs one call into
+the JVM, where building it node by node from Python would cost dozens.
+"""
 
 from kilnstream import fixed
 
 
-def repair_lot_blanks(value: Column) -> Column:
+def quoted(text: str) -> str:
+    """A string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name(column: str) -> str:
+    """A column name."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def repair_lot_blanks(value: str) -> str:
     """Drop the two blanks that close the lot number; a third one stays."""
-    return F.replace(value, F.lit(fixed.PADDED_LOT_END), F.lit(fixed.CLEAN_LOT_END))
+    return f"replace({value}, {quoted(fixed.PADDED_LOT_END)}, {quoted(fixed.CLEAN_LOT_END)})"
 
 
-def asset_id_from_lot(lot_no: Column) -> Column:
-    return F.concat(
-        F.lit(fixed.ASSET_PREFIX),
-        F.substring(lot_no, fixed.LOT_ASSET_START, fixed.LOT_ASSET_LENGTH),
-    )
+def asset_id_from_lot(lot_no: str) -> str:
+    part = f"substring({lot_no}, {fixed.LOT_ASSET_START}, {fixed.LOT_ASSET_LENGTH})"
+    return f"concat({quoted(fixed.ASSET_PREFIX)}, {part})"
 
 
-def asset_id_from_machine_id(machine_id: Column) -> Column:
-    return F.substring(machine_id, F.lit(fixed.STATUS_ASSET_START), F.length(machine_id))
+def asset_id_from_machine_id(machine_id: str) -> str:
+    return f"substring({machine_id}, {fixed.STATUS_ASSET_START})"
 
 
-def pad_single(text: Column) -> Column:
+def pad_single(text: str) -> str:
     """Put a zero before one character; longer text is never cut."""
-    return F.when(F.length(text) == 1, F.concat(F.lit("0"), text)).otherwise(text)
+    return f"CASE WHEN length({text}) = 1 THEN concat('0', {text}) ELSE {text} END"
 
 
-def whole_part(number: Column) -> Column:
+def whole_part(number: str) -> str:
     """Integer part of a double as text, NULL when there is none."""
-    return number.try_cast("int").cast("string")
+    return f"CAST(try_cast({number} AS INT) AS STRING)"

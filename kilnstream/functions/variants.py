@@ -2,11 +2,11 @@
 
 A document is a VARIANT, so ``9`` and ``9.0`` stay different: only the second
 is a DOUBLE and may raise an alarm.  Casting a variant would hide that, hence
-every read is guarded by the type of the value itself.
+every read is guarded by the type of the value itself.  Expressions are SQL
+text (see ``functions.text``).
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from kilnstream.functions.text import quoted
 
 # Names of value types.
 DOUBLE = "DOUBLE"
@@ -26,101 +26,90 @@ LONG_MEMBER = "$numberLong"
 INT_MEMBER = "$numberInt"
 
 
-def parse(value: Column) -> Column:
+def parse(value: str) -> str:
     """The document, or NULL for text that is not one JSON value."""
-    return F.try_parse_json(value)
+    return f"try_parse_json({value})"
 
 
-def members(doc: Column) -> Column:
+def members(doc: str) -> str:
     """Members of an object as a map; NULL for any other document.
 
     One walk over the document serves every later key, and a key taken from the
     tag master is looked up as it is, with no path to build and parse per row.
     """
-    return F.try_variant_get(doc, "$", "map<string,variant>")
+    return f"try_variant_get({doc}, '$', 'map<string,variant>')"
 
 
-def member(of: Column, key: Column | str) -> Column:
-    """Value under a key of ``members``, NULL when the key is missing."""
-    return F.try_element_at(of, key if isinstance(key, Column) else F.lit(key))
+def member(of: str, key: str) -> str:
+    """Value under a key (an expression) of ``members``, NULL when it is missing."""
+    return f"try_element_at({of}, {key})"
 
 
-def schema_text(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def schema_text(value: str) -> str:
+    return f"schema_of_variant({value})"
 
 
-def _wraps(schema: Column, name: str) -> Column:
-    return schema.startswith(f"OBJECT<`{name}`: ") & ~schema.contains(", `")
+def _wraps(schema: str, member_name: str) -> str:
+    return (f"(startswith({schema}, 'OBJECT<`{member_name}`: ') "
+            f"AND NOT contains({schema}, ', `'))")
 
 
-def is_double(schema: Column) -> Column:
-    return (
-        schema.startswith("DECIMAL")
-        | schema.isin("DOUBLE", "FLOAT")
-        | _wraps(schema, DOUBLE_MEMBER)
-    )
+def _plain_double(schema: str) -> str:
+    return f"(startswith({schema}, 'DECIMAL') OR {schema} IN ('DOUBLE', 'FLOAT'))"
 
 
-def is_date_time(schema: Column) -> Column:
-    return _wraps(schema, DATE_MEMBER)
-
-
-def type_name(value: Column, schema: Column | None = None) -> Column:
+def type_name(value: str, schema: str) -> str:
     """Type of a value by its own form; SQL NULL for a missing key."""
-    schema = schema_text(value) if schema is None else schema
-    fits_int = F.try_variant_get(value, "$", "int").isNotNull()
-    return (
-        F.when(schema.isNull(), F.lit(None).cast("string"))
-        .when(is_double(schema), F.lit(DOUBLE))
-        .when(schema == "STRING", F.lit(STRING))
-        .when(schema == "BIGINT", F.when(fits_int, F.lit(INT32)).otherwise(F.lit(INT64)))
-        .when(schema == "BOOLEAN", F.lit(BOOLEAN))
-        .when(schema == "VOID", F.lit(NULL))
-        .when(schema.startswith("ARRAY"), F.lit(ARRAY))
-        .when(is_date_time(schema), F.lit(DATE_TIME))
-        .when(_wraps(schema, INT_MEMBER), F.lit(INT32))
-        .when(_wraps(schema, LONG_MEMBER), F.lit(INT64))
-        .otherwise(F.lit(DOCUMENT))
-    )
-
-
-def double_value(value: Column, schema: Column, widen_ints: bool = False) -> Column:
+    fits_int = f"try_variant_get({value}, '$', 'int') IS NOT NULL"
+    return f"""CASE
+        WHEN {schema} IS NULL THEN NULL
+        WHEN {_plain_double(schema)} OR {_wraps(schema, DOUBLE_MEMBER)} THEN '{DOUBLE}'
+        WHEN {schema} = 'STRING' THEN '{STRING}'
+        WHEN {schema} = 'BIGINT' THEN CASE WHEN {fits_int} THEN '{INT32}' ELSE '{INT64}' END
+        WHEN {schema} = 'BOOLEAN' THEN '{BOOLEAN}'
+        WHEN {schema} = 'VOID' THEN '{NULL}'
+        WHEN startswith({schema}, 'ARRAY') THEN '{ARRAY}'
+        WHEN {_wraps(schema, DATE_MEMBER)} THEN '{DATE_TIME}'
+        WHEN {_wraps(schema, INT_MEMBER)} THEN '{INT32}'
+        WHEN {_wraps(schema, LONG_MEMBER)} THEN '{INT64}'
+        ELSE '{DOCUMENT}' END"""
+
+
+def double_value(value: str, schema: str, widen_ints: bool = False) -> str:
     """The number when the value is a DOUBLE, else NULL."""
-    plain = schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT")
+    plain = _plain_double(schema)
     if widen_ints:
-        plain = plain | (schema == "BIGINT")
-    wrapped = F.try_variant_get(value, f"$.{DOUBLE_MEMBER}", "string").try_cast("double")
-    return F.when(plain, F.try_variant_get(value, "$", "double")).when(
-        _wraps(schema, DOUBLE_MEMBER), wrapped
-    )
+        plain = f"({plain} OR {schema} = 'BIGINT')"
+    wrapped = f"try_variant_get({value}, '$.{DOUBLE_MEMBER}', 'string')"
+    return f"""CASE
+        WHEN {plain} THEN try_variant_get({value}, '$', 'double')
+        WHEN {_wraps(schema, DOUBLE_MEMBER)} THEN try_cast({wrapped} AS DOUBLE) END"""
 
 
-def string_value(value: Column, schema: Column) -> Column:
-    return F.when(schema == "STRING", F.try_variant_get(value, "$", "string"))
+def string_value(value: str, schema: str) -> str:
+    return f"CASE WHEN {schema} = 'STRING' THEN try_variant_get({value}, '$', 'string') END"
 
 
-def date_time_value(value: Column, schema: Column) -> Column:
+def date_time_value(value: str, schema: str) -> str:
     """Timestamp of ``{"$date": text | milliseconds | {"$numberLong": text}}``."""
     date = f"$.{DATE_MEMBER}"
-    long_text = F.try_variant_get(value, f"$.{DATE_MEMBER}.{LONG_MEMBER}", "string")
-    return (
-        F.when(
-            schema == f"OBJECT<`{DATE_MEMBER}`: BIGINT>",
-            F.timestamp_millis(F.try_variant_get(value, date, "bigint")),
-        )
-        .when(
-            schema == f"OBJECT<`{DATE_MEMBER}`: STRING>",
-            F.try_variant_get(value, date, "timestamp"),
-        )
-        .when(is_date_time(schema), F.timestamp_millis(long_text.try_cast("bigint")))
-    )
-
-
-def double_member(of: Column, key: Column | str) -> Column:
-    value = member(of, key)
+    long_text = f"try_variant_get({value}, '{date}.{LONG_MEMBER}', 'string')"
+    return f"""CASE
+        WHEN {schema} = {quoted(f'OBJECT<`{DATE_MEMBER}`: BIGINT>')}
+          THEN timestamp_millis(try_variant_get({value}, '{date}', 'bigint'))
+        WHEN {schema} = {quoted(f'OBJECT<`{DATE_MEMBER}`: STRING>')}
+          THEN try_variant_get({value}, '{date}', 'timestamp')
+        WHEN {_wraps(schema, DATE_MEMBER)}
+          THEN timestamp_millis(try_cast({long_text} AS BIGINT)) END"""
+
+
+def double_member(of: str, key: str) -> str:
+    """The DOUBLE under a fixed key, else NULL."""
+    value = member(of, quoted(key))
     return double_value(value, schema_text(value))
 
 
-def string_member(of: Column, key: Column | str) -> Column:
-    value = member(of, key)
+def string_member(of: str, key: str) -> str:
+    """The STRING under a fixed key, else NULL."""
+    value = member(of, quoted(key))
     return string_value(value, schema_text(value))

@@ -1,13 +1,11 @@
 """Limit checks and alarm records."""
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
 from kilnstream.functions import text, variants
+from kilnstream.functions.text import quoted
 from kilnstream.operators.lookup import Lookup
 from kilnstream.operators.once import once
 
@@ -22,62 +20,59 @@ _WORST_FIRST = (
 )
 
 
-def level_of(value: Column) -> Column:
+def level_of(value: str) -> str:
     """Level of the worst limit pair the value lies strictly outside of, or NULL.
 
     NaN is outside of nothing; Spark would order it above every limit.
     """
-    low = {name: F.col(f"alarm_{name}_min_val") for _, name in _WORST_FIRST}
-    high = {name: F.col(f"alarm_{name}_max_val") for _, name in _WORST_FIRST}
-    level = F.lit(None).cast("string")
-    for code, name in reversed(_WORST_FIRST):
-        level = F.when((value < low[name]) | (value > high[name]), F.lit(code)).otherwise(level)
-    return F.when(~F.isnan(value), level)
+    branches = " ".join(
+        f"WHEN {value} < alarm_{name}_min_val OR {value} > alarm_{name}_max_val THEN '{code}'"
+        for code, name in _WORST_FIRST
+    )
+    return f"CASE WHEN isnan({value}) THEN NULL {branches} END"
 
 
 def limited_tags(tags: Lookup) -> Lookup:
     """Tags with at least one limit; the others cannot raise an alarm."""
-    has_limit = reduce(or_, [F.col(name).isNotNull() for name in fixed.LIMIT_COLUMNS])
-    return tags.narrowed(tags.frame.where(has_limit))
+    any_limit = f"coalesce({', '.join(fixed.LIMIT_COLUMNS)}) IS NOT NULL"
+    return tags.narrowed(tags.frame.where(any_limit))
 
 
 def alarm_levels(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
     """Message and tag pairs that fire, with ``alarm_val`` and ``alarm_level_cd``."""
-    number = variants.double_value(F.col("value"), F.col("value_schema"), widen_ints)
+    number = variants.double_value("value", "value_schema", widen_ints)
     return (
         once(pairs, alarm_val=number)
-        .withColumn("alarm_level_cd", level_of(F.col("alarm_val")))
-        .where(F.col("alarm_level_cd").isNotNull())
+        .withColumn("alarm_level_cd", F.expr(level_of("alarm_val")))
+        .where("alarm_level_cd IS NOT NULL")
     )
 
 
-def minute_key(members: Column) -> Column:
+def minute_key(members: str) -> str:
     """``20yyMMddHHmm`` of a message; NULL unless all five parts are DOUBLE."""
-    def part(key: str) -> Column:
+    def part(key: str) -> str:
         return text.whole_part(variants.double_member(members, key))
 
     padded = [text.pad_single(part(key)) for key in
               (fixed.KEY_MONTH, fixed.KEY_DAY, fixed.KEY_HOUR, fixed.KEY_MINUTE)]
-    return F.concat(F.lit(fixed.CENTURY), part(fixed.KEY_YEAR), *padded)
+    return f"concat({quoted(fixed.CENTURY)}, {part(fixed.KEY_YEAR)}, {', '.join(padded)})"
 
 
-def time_key(members: Column, key_part: Column) -> Column:
+def time_key(members: str, key_part: str) -> str:
     """Minute of the message followed by the padded mapping key."""
-    return F.concat(minute_key(members), key_part)
+    return f"concat({minute_key(members)}, {key_part})"
 
 
 def alarm_history(fired: DataFrame) -> DataFrame:
     """Alarm records; the message key makes them unique where the alarm id does not."""
-    value = F.col("alarm_val").cast("string")
-    alarm_id = F.concat("lot_no", F.lit("_"), time_key(F.col("members"), F.col("key_part")))
-    return fired.select(
-        *schemas.MESSAGE_KEY,
-        alarm_id.alias("alarm_id"),
+    return fired.selectExpr(
+        *map(text.name, schemas.MESSAGE_KEY),
+        f"concat(lot_no, '_', {time_key('members', 'key_part')}) AS alarm_id",
         "site_id", "asset_id", "tag_id",
-        F.col("crt_dtm").alias("alarm_date_time"),
+        "crt_dtm AS alarm_date_time",
         "alarm_val", "alarm_level_cd",
-        F.concat(F.lit(fixed.ALARM_TEXT), value).alias("alarm_desc"),
-        F.lit(fixed.ALARM_UNCONFIRMED).alias("confirm_yn"),
+        f"concat({quoted(fixed.ALARM_TEXT)}, CAST(alarm_val AS STRING)) AS alarm_desc",
+        f"{quoted(fixed.ALARM_UNCONFIRMED)} AS confirm_yn",
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
 from kilnstream.functions import text
+from kilnstream.functions.text import quoted
 from kilnstream.operators.lookup import Lookup, join_lookup, measure
 
 # Issues found in the masters.
@@ -59,20 +60,17 @@ def prepare_tags(tags: DataFrame, codes: DataFrame, site: str) -> DataFrame:
     no number, and NaN, mean "no limit".
     """
     scanned = scan_tags(tags, codes, site, limits=True)
-    limits = []
-    bad = F.lit(False)
-    for name in fixed.LIMIT_COLUMNS:
-        number = F.trim(F.col(name)).try_cast("double")
-        limits.append(F.when(~F.isnan(number), number).alias(name))
-        bad = bad | (F.col(name).isNotNull() & F.coalesce(F.isnan(number), F.lit(True)))
-    return scanned.select(
-        "site_id", "asset_id", "tag_id", "tag_nm", "alias",
-        "mapping_key",
-        text.pad_single(F.col("mapping_key")).alias("key_part"),
+    number = {name: f"try_cast(trim({name}) AS DOUBLE)" for name in fixed.LIMIT_COLUMNS}
+    limits = [f"CASE WHEN NOT isnan({n}) THEN {n} END AS {name}" for name, n in number.items()]
+    bad = " OR ".join(
+        f"({name} IS NOT NULL AND coalesce(isnan({n}), true))" for name, n in number.items()
+    )
+    return scanned.selectExpr(
+        "site_id", "asset_id", "tag_id", "tag_nm", "alias", "mapping_key",
+        f"{text.pad_single('mapping_key')} AS key_part",
         *limits,
-        F.coalesce(F.col("data_type_nm").contains(fixed.DOUBLE_TYPE_WORD), F.lit(False))
-        .alias("double_tag"),
-        bad.alias("bad_limit"),
+        f"coalesce(contains(data_type_nm, {quoted(fixed.DOUBLE_TYPE_WORD)}), false) AS double_tag",
+        f"{bad} AS bad_limit",
     )
 
 
@@ -108,7 +106,7 @@ def load_masters(
     prepared = prepare_tags(tags, codes, site)
     if keep:
         confirmed, prepared = confirmed.persist(), prepared.persist()
-    return Masters(site, measure(confirmed), measure(prepared))
+    return Masters(site, *measure(confirmed, prepared))
 
 
 def modelled(messages: DataFrame, masters: Masters) -> DataFrame:
@@ -126,12 +124,11 @@ def master_issues(masters: Masters) -> DataFrame:
     tags = masters.tags.frame
     owners = alias_tags(tags).select("asset_id", "alias", F.col("tag_id").alias("owner"))
     checked = tags.join(owners, ["asset_id", "alias"], "left")
-    found = F.array_compact(F.array(
-        F.when(F.col("bad_limit"), F.lit(BAD_LIMIT)),
-        F.when(F.col("mapping_key").isNull(), F.lit(BAD_KEY)),
-        F.when(F.col("alias").isNull(), F.lit(ALIAS_MISSING)),
-        F.when(F.col("owner") != F.col("tag_id"), F.lit(ALIAS_TAKEN)),
-    ))
+    found = F.expr(f"""array_compact(array(
+        CASE WHEN bad_limit THEN {quoted(BAD_LIMIT)} END,
+        CASE WHEN mapping_key IS NULL THEN {quoted(BAD_KEY)} END,
+        CASE WHEN alias IS NULL THEN {quoted(ALIAS_MISSING)} END,
+        CASE WHEN owner <> tag_id THEN {quoted(ALIAS_TAKEN)} END))""")
     of_tags = checked.select("asset_id", "tag_id", F.explode(found).alias("issue"))
     tagless = masters.confirmed.frame.join(tags.select("asset_id"), "asset_id", "left_anti")
     return of_tags.unionByName(

@@ -6,11 +6,12 @@ form (``wide_rows``, one row per message, one column per alias).  The wide form
 reads each alias straight from the document, so nothing is shuffled.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
-from kilnstream.functions import variants
+from kilnstream.functions import text, variants
+from kilnstream.functions.text import quoted
 from kilnstream.operators.assets import Masters, alias_tags
 from kilnstream.operators.lookup import Lookup, join_lookup
 from kilnstream.operators.once import once
@@ -22,16 +23,16 @@ KEY_MISSING = "mapped key missing"
 MAX_WIDE_COLUMNS = 4000
 
 
-def cell_text(
-    value: Column, schema: Column, double_tag: Column, widen_ints: bool = False
-) -> Column:
+def cell_text(value: str, schema: str, double_tag: str, widen_ints: bool = False) -> str:
     """Cell of a value: NULL unless it is a DOUBLE, a STRING or a DATE_TIME."""
     number = variants.double_value(value, schema, widen_ints)
     string = variants.string_value(value, schema)
-    filled = F.when(double_tag & (string == ""), F.lit(fixed.EMPTY_DOUBLE_CELL)).otherwise(string)
-    return F.coalesce(
-        number.cast("string"), filled, variants.date_time_value(value, schema).cast("string")
-    )
+    empty = f"{double_tag} AND {schema} = 'STRING' AND ({string}) = ''"
+    return f"""CASE
+        WHEN {empty} THEN {quoted(fixed.EMPTY_DOUBLE_CELL)}
+        WHEN {schema} = 'STRING' THEN {string}
+        ELSE coalesce(CAST({number} AS STRING),
+                      CAST({variants.date_time_value(value, schema)} AS STRING)) END"""
 
 
 def document_tags(messages: DataFrame, tags: Lookup) -> DataFrame:
@@ -40,14 +41,13 @@ def document_tags(messages: DataFrame, tags: Lookup) -> DataFrame:
     A missing key keeps its row with a NULL value.
     """
     paired = join_lookup(messages, tags, ["asset_id"])
-    valued = once(paired, value=variants.member(F.col("members"), F.col("mapping_key")))
-    return once(valued, value_schema=variants.schema_text(F.col("value")))
+    valued = once(paired, value=variants.member("members", "mapping_key"))
+    return once(valued, value_schema=variants.schema_text("value"))
 
 
 def typed_cells(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
     """Long form: the cell of every message and tag."""
-    cell = cell_text(F.col("value"), F.col("value_schema"), F.col("double_tag"), widen_ints)
-    return once(pairs, cell=cell)
+    return once(pairs, cell=cell_text("value", "value_schema", "double_tag", widen_ints))
 
 
 def cell_issues(pairs: DataFrame) -> DataFrame:
@@ -106,15 +106,18 @@ def wide_rows(
     columns = wide_columns(tags.frame) if columns is None else columns
     doubles = double_columns(tags.frame, columns) if typed else set()
     rows = join_lookup(messages, _tags_by_alias(tags), ["asset_id"])
-    tag = [F.col("tag_of")[alias] for alias in columns]
-    values = {f"_v{i}": variants.member(F.col("members"), t["mapping_key"]) for i, t in enumerate(tag)}
-    rows = once(rows, **values)
-    rows = once(rows, **{f"_s{i}": variants.schema_text(F.col(f"_v{i}")) for i in range(len(tag))})
+    tag = [f"try_element_at(tag_of, {quoted(alias)})" for alias in columns]
+    rows = once(rows, **{
+        f"_v{i}": variants.member("members", f"{t}.mapping_key") for i, t in enumerate(tag)
+    })
+    rows = once(rows, **{f"_s{i}": variants.schema_text(f"_v{i}") for i in range(len(tag))})
     cells = []
     for i, alias in enumerate(columns):
-        cell = cell_text(F.col(f"_v{i}"), F.col(f"_s{i}"), tag[i]["double_tag"], widen_ints)
-        cells.append((cell.try_cast("double") if alias in doubles else cell).alias(alias))
-    return rows.select(*schemas.MESSAGE_KEY, "asset_id", *keep, *cells)
+        cell = cell_text(f"_v{i}", f"_s{i}", f"{tag[i]}.double_tag", widen_ints)
+        if alias in doubles:
+            cell = f"try_cast({cell} AS DOUBLE)"
+        cells.append(f"{cell} AS {text.name(alias)}")
+    return rows.selectExpr(*map(text.name, [*schemas.MESSAGE_KEY, "asset_id", *keep]), *cells)
 
 
 def wide_rows_by_pivot(cells: DataFrame, tags: DataFrame, columns: list[str]) -> DataFrame:

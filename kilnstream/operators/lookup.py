@@ -7,12 +7,14 @@ one is joined by a salted shuffle: the messages of one machine spread over
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kilnstream import schemas
+from kilnstream.functions.text import name
 
 # Largest master that is broadcast, by measured bytes.
 BROADCAST_LIMIT = 64 * 1024 * 1024
@@ -33,19 +35,25 @@ class Lookup:
         return Lookup(frame, self.n_bytes)
 
 
-def measure(frame: DataFrame) -> Lookup:
-    """Size of a frame by one aggregate over it."""
-    widths = [F.lit(FIELD_OVERHEAD * len(frame.columns))]
+def _row_bytes(frame: DataFrame) -> str:
+    widths = [str(FIELD_OVERHEAD * len(frame.columns))]
     for field in frame.schema.fields:
+        column = name(field.name)
         if isinstance(field.dataType, T.StringType):
-            widths.append(F.coalesce(F.octet_length(field.name), F.lit(0)))
+            widths.append(f"coalesce(octet_length({column}), 0)")
         elif not isinstance(field.dataType, T.AtomicType):
-            widths.append(F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)))
-    total = widths[0]
-    for width in widths[1:]:
-        total = total + width
-    n_bytes = frame.select(F.sum(total.cast("bigint"))).first()[0]
-    return Lookup(frame, n_bytes or 0)
+            widths.append(f"coalesce(octet_length(to_json(struct({column}))), 0)")
+    return f"CAST({' + '.join(widths)} AS BIGINT)"
+
+
+def measure(*frames: DataFrame) -> list[Lookup]:
+    """Sizes of frames, by one job over all of them."""
+    sizes = reduce(DataFrame.unionAll, [
+        frame.selectExpr(f"{i} AS i", f"coalesce(sum({_row_bytes(frame)}), 0) AS n_bytes")
+        for i, frame in enumerate(frames)
+    ])
+    n_bytes = {row["i"]: row["n_bytes"] for row in sizes.collect()}
+    return [Lookup(frame, n_bytes[i]) for i, frame in enumerate(frames)]
 
 
 def join_lookup(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from kilnstream import schemas
 from kilnstream.functions import variants
 from kilnstream.operators.alarms import minute_key
+from kilnstream.operators.once import once
 
 CHUNK = 100_000
 
@@ -105,11 +106,11 @@ def chart_series(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
 
     Counted before the shuffle, so a large lot costs its own tasks only.
     """
-    number = variants.double_value(F.col("value"), F.col("value_schema"), widen_ints)
-    points = pairs.select(
-        "lot_no", minute_key(F.col("members")).alias("minute"), "alias", number.alias("number"),
+    numbered = once(pairs, number=variants.double_value("value", "value_schema", widen_ints))
+    points = numbered.where("number IS NOT NULL").select(
+        "lot_no", F.expr(minute_key("members")).alias("minute"), "alias", "number",
         *schemas.ARRIVAL,
-    ).where(F.col("number").isNotNull())
+    )
     return points.groupBy("lot_no", "minute", "alias").agg(
         F.count("*").alias("n"),
         F.min("number").alias("min_val"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
 from kilnstream.functions import text, variants
+from kilnstream.functions.text import quoted
 from kilnstream.operators.once import once
 
 # Reasons for quarantine.
@@ -27,25 +28,25 @@ def message_text(rows: DataFrame) -> DataFrame:
 
 
 def repair_lot(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("value", text.repair_lot_blanks(F.col("value")))
-
-
-def _reject(doc: Column, key: Column, key_reason: str, mode: str) -> Column:
-    reason = F.when(doc.isNull(), F.lit(NOT_JSON)).when(key.isNull(), F.lit(key_reason))
-    if mode == FAILFAST:
-        return F.when(
-            reason.isNotNull(),
-            F.raise_error(F.concat_ws(" ", reason, F.lit("at"), "topic", "partition", "offset"))
-            .cast("string"),
-        )
-    if mode != QUARANTINE:
+    return rows.withColumn("value", F.expr(text.repair_lot_blanks("value")))
+
+
+def _reject_reason(key: str, key_reason: str, mode: str) -> str:
+    reason = (f"CASE WHEN doc IS NULL THEN {quoted(NOT_JSON)} "
+              f"WHEN {key} IS NULL THEN {quoted(key_reason)} END")
+    if mode == QUARANTINE:
+        return reason
+    if mode != FAILFAST:
         raise ValueError(f"unknown mode {mode!r}")
-    return reason
+    position = ", ".join(text.name(column) for column in schemas.MESSAGE_KEY)
+    message = f"concat_ws(' ', {reason}, 'at', {position})"
+    return (f"CASE WHEN doc IS NULL OR {key} IS NULL "
+            f"THEN CAST(raise_error({message}) AS STRING) END")
 
 
 def _parsed(texts: DataFrame) -> DataFrame:
-    documents = once(texts, doc=variants.parse(F.col("payload")))
-    return once(documents, members=variants.members(F.col("doc")))
+    documents = once(texts, doc=variants.parse("payload"))
+    return once(documents, members=variants.members("doc"))
 
 
 def parse_machine_messages(
@@ -57,51 +58,52 @@ def parse_machine_messages(
     ``lot_no``, ``asset_id``, ``crt_dtm``, ``oper_stat`` and ``reject_reason``.
     """
     clock = F.current_timestamp() if processing_ts is None else processing_ts
-    repaired = rows.select(
-        *schemas.MESSAGE_KEY, "timestamp",
-        text.repair_lot_blanks(F.col("value")).alias("payload"),
+    texts = rows.selectExpr(
+        *map(text.name, schemas.MESSAGE_KEY), "timestamp",
+        f"{text.repair_lot_blanks('value')} AS payload",
     )
-    parsed = _parsed(repaired)
-    keyed = once(parsed, lot_no=variants.string_member(F.col("members"), fixed.KEY_LOT))
+    keyed = once(_parsed(texts), lot_no=variants.string_member("members", fixed.KEY_LOT))
     return keyed.select(
         "*",
-        text.asset_id_from_lot(F.col("lot_no")).alias("asset_id"),
+        F.expr(text.asset_id_from_lot("lot_no")).alias("asset_id"),
         clock.alias("crt_dtm"),
         F.lit(fixed.OPER_STAT).alias("oper_stat"),
-        _reject(F.col("doc"), F.col("lot_no"), NO_LOT, mode).alias("reject_reason"),
+        F.expr(_reject_reason("lot_no", NO_LOT, mode)).alias("reject_reason"),
     )
 
 
 def parse_status_messages(rows: DataFrame, mode: str = QUARANTINE) -> DataFrame:
     """Parse status messages: ``doc``, ``members``, ``asset_id``, ``reject_reason``."""
-    texts = rows.select(*schemas.MESSAGE_KEY, "timestamp", F.col("value").alias("payload"))
+    texts = rows.selectExpr(
+        *map(text.name, schemas.MESSAGE_KEY), "timestamp", "value AS payload"
+    )
     parsed = _parsed(texts)
     keyed = once(
-        parsed, machine_id=variants.string_member(F.col("members"), fixed.KEY_MACHINE_ID)
+        parsed, machine_id=variants.string_member("members", fixed.KEY_MACHINE_ID)
     )
-    return keyed.select(
-        *parsed.columns,
-        text.asset_id_from_machine_id(F.col("machine_id")).alias("asset_id"),
-        _reject(F.col("doc"), F.col("machine_id"), NO_MACHINE, mode).alias("reject_reason"),
+    return keyed.selectExpr(
+        *map(text.name, parsed.columns),
+        f"{text.asset_id_from_machine_id('machine_id')} AS asset_id",
+        f"{_reject_reason('machine_id', NO_MACHINE, mode)} AS reject_reason",
     )
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return parsed.where("reject_reason IS NULL").drop("reject_reason")
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:
     """Rejected messages with their text, for repair and replay."""
-    return parsed.where(F.col("reject_reason").isNotNull()).select(
+    return parsed.where("reject_reason IS NOT NULL").select(
         *schemas.MESSAGE_KEY, "timestamp", "payload", "reject_reason"
     )
 
 
 def value_types(documents: DataFrame) -> DataFrame:
     """One row per member of every document with the type of its value."""
-    members = documents.lateralJoin(
-        documents.sparkSession.tvf.variant_explode(F.col("doc").outer())
-    )
-    return members.select(
-        *schemas.MESSAGE_KEY, "key", variants.type_name(F.col("value")).alias("value_type")
+    kept = documents.select(*schemas.MESSAGE_KEY, F.explode("members").alias("key", "value"))
+    typed = once(kept, value_schema=variants.schema_text("value"))
+    return typed.select(
+        *schemas.MESSAGE_KEY, "key",
+        F.expr(variants.type_name("value", "value_schema")).alias("value_type"),
     )

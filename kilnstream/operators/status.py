@@ -27,7 +27,7 @@ def latest_status(messages: DataFrame) -> DataFrame:
     The whole message wins: a value it lacks is NULL, never an older one.
     """
     message = F.struct(
-        *[variants.string_member(F.col("members"), key).alias(name)
+        *[F.expr(variants.string_member("members", key)).alias(name)
           for key, name in fixed.STATUS_COLUMNS.items()],
         arrival_order().alias(ORDER_COLUMN),
     )

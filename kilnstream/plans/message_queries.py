@@ -31,7 +31,7 @@ def lot_blank_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n7 = variants.double_member(F.col("members"), "7").alias("n7")
+    n7 = F.expr(variants.double_member("members", "7")).alias("n7")
     return inputs.accepted(spark, sf_dir).select(event_id(), "lot_no", n7)
 
 
@@ -41,7 +41,7 @@ def lot_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def asset_from_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.accepted(spark, sf_dir).select(
-        event_id(), text.asset_id_from_lot(F.col("lot_no")).alias("asset_id")
+        event_id(), F.expr(text.asset_id_from_lot("lot_no")).alias("asset_id")
     )
 
 
@@ -176,7 +176,7 @@ def alarm_null_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alarm_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = alarms.time_key(F.col("members"), F.col("key_part"))
+    key = F.expr(alarms.time_key("members", "key_part"))
     return _pairs(spark, sf_dir).select(event_id(), "tag_id", key.alias("time_key"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
+from kilnstream.functions.text import quoted
 
 SITE = "SITE_00001"
 OTHER_SITE = "SITE_00002"
@@ -38,74 +39,63 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events")
 
 
-def _machine_number(user_id: Column) -> Column:
-    return F.format_string("%03d", user_id % 20)
+def _machine_number(user_id: str) -> str:
+    return f"format_string('%03d', {user_id} % 20)"
 
 
-def _prop_k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("bigint")
+PROP_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 
 
-def _key(offset: Column, user_id: Column, topic: str) -> list[Column]:
+def _key(topic: str) -> list[str]:
     return [
-        F.lit(topic).alias("topic"),
-        (user_id % 3).cast("int").alias("partition"),
-        offset.alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        f"'{topic}' AS topic", "CAST(user_id % 3 AS INT) AS `partition`",
+        "event_id AS `offset`", "CAST(ts AS TIMESTAMP) AS `timestamp`",
     ]
 
 
-def _double(number: Column) -> Column:
-    return number.cast("double").cast("string")
+def _double(number: str) -> str:
+    return f"CAST(CAST({number} AS DOUBLE) AS STRING)"
 
 
-def _text(value: Column) -> Column:
-    return F.concat(F.lit('"'), value, F.lit('"'))
+def _text(value: str) -> str:
+    return f"concat('\"', {value}, '\"')"
 
 
-def _json(members: list[tuple[str, Column]]) -> Column:
-    parts = [F.concat(F.lit(f'"{key}": '), value) for key, value in members]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+def _json(members: list[tuple[str, str]]) -> str:
+    parts = [f"concat('\"{key}\": ', {value})" for key, value in members]
+    return f"concat('{{', concat_ws(', ', {', '.join(parts)}), '}}')"
 
 
 def machine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One machine message per event; the offset is the event id."""
-    rows = events(spark, sf_dir)
-    ts, user_id = F.col("ts"), F.col("user_id")
-    number = _machine_number(user_id)
-    lot_no = F.concat(F.lit("LOT__"), number, F.lit("_"), F.format_string("%05d", user_id))
-    word = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type"))
+    number = _machine_number("user_id")
+    lot_no = f"concat('LOT__', {number}, '_', format_string('%05d', user_id))"
     value = _json([
-        ("0", _double(F.year(ts) - 2000)),
-        ("1", _double(F.month(ts))),
-        ("2", _double(F.dayofmonth(ts))),
-        ("3", _double(F.hour(ts))),
-        ("4", _double(F.minute(ts))),
-        ("5", _text(F.concat(lot_no, F.lit("  ")))),
-        ("6", _text(word)),
-        ("7", _double(F.col("value"))),
-        ("8", F.col("event_id").cast("string")),
-        ("100", _double(_prop_k(F.col("props")))),
+        ("0", _double("year(ts) - 2000")),
+        ("1", _double("month(ts)")),
+        ("2", _double("day(ts)")),
+        ("3", _double("hour(ts)")),
+        ("4", _double("minute(ts)")),
+        ("5", _text(f"concat({lot_no}, '  ')")),
+        ("6", _text("CASE WHEN event_type = 'error' THEN '' ELSE event_type END")),
+        ("7", _double("value")),
+        ("8", "CAST(event_id AS STRING)"),
+        ("100", _double(PROP_K)),
     ])
-    return rows.select(*_key(F.col("event_id"), user_id, "dispMachine"), value.alias("value"))
+    return events(spark, sf_dir).selectExpr(*_key("dispMachine"), f"{value} AS value")
 
 
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One machine status message per event."""
-    rows = events(spark, sf_dir)
-    user_id = F.col("user_id")
-    k = _prop_k(F.col("props"))
+    machine_id = f"concat('KR1_', '{fixed.ASSET_PREFIX}', {_machine_number('user_id')})"
     value = _json([
-        ("machineid", _text(F.concat(F.lit("KR1_"), F.lit(fixed.ASSET_PREFIX),
-                                     _machine_number(user_id)))),
-        ("status", _text(F.col("event_type"))),
-        ("seqStatus", _text(F.concat(F.lit("S"), (k % 3).cast("string")))),
-        ("growStatus", _text(F.concat(F.lit("G"), (k % 2).cast("string")))),
-        ("datetime", _text(F.col("ts").cast("string"))),
+        ("machineid", _text(machine_id)),
+        ("status", _text("event_type")),
+        ("seqStatus", _text(f"concat('S', {PROP_K} % 3)")),
+        ("growStatus", _text(f"concat('G', {PROP_K} % 2)")),
+        ("datetime", _text("CAST(ts AS STRING)")),
     ])
-    return rows.select(
-        *_key(F.col("event_id"), user_id, "dispMachineStatus"), value.alias("value")
-    )
+    return events(spark, sf_dir).selectExpr(*_key("dispMachineStatus"), f"{value} AS value")
 
 
 def _machines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +104,7 @@ def _machines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _asset_id() -> Column:
-    return F.concat(F.lit(fixed.ASSET_PREFIX), F.format_string("%03d", F.col("mm")))
+    return F.expr(f"concat('{fixed.ASSET_PREFIX}', {_machine_number('mm')})")
 
 
 def _both_sites() -> Column:
@@ -140,25 +130,22 @@ def asset_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tag template for every machine; the second site has no limits."""
-    def literal(value: str | None) -> Column:
-        return F.lit(value).cast("string")
-
     names = ["tag_id", "mapping_key", "alias", "data_type_cd", *fixed.LIMIT_COLUMNS]
-    template = F.array(*[
-        F.struct(*[literal(cell).alias(name) for name, cell in zip(names, row)])
-        for row in TAG_TEMPLATE
-    ])
+    structs = []
+    for row in TAG_TEMPLATE:
+        cells = ["CAST(NULL AS STRING)" if cell is None else quoted(cell) for cell in row]
+        fields = ", ".join(f"'{name}', {cell}" for name, cell in zip(names, cells))
+        structs.append(f"named_struct({fields})")
+    template = F.expr(f"array({', '.join(structs)})")
     rows = (
         _machines(spark, sf_dir)
         .select(_both_sites().alias("site_id"), "mm")
         .select("site_id", _asset_id().alias("asset_id"), F.explode(template).alias("t"))
     )
-    limits = [
-        F.when(F.col("site_id") == SITE, F.col(f"t.{name}")).alias(name)
-        for name in fixed.LIMIT_COLUMNS
-    ]
-    return rows.select(
-        "site_id", "asset_id", "t.tag_id", F.upper("t.alias").alias("tag_nm"), "t.alias",
+    limits = [f"CASE WHEN site_id = '{SITE}' THEN t.{name} END AS {name}"
+              for name in fixed.LIMIT_COLUMNS]
+    return rows.selectExpr(
+        "site_id", "asset_id", "t.tag_id", "upper(t.alias) AS tag_nm", "t.alias",
         "t.mapping_key", *limits, "t.data_type_cd",
     ).select(*schemas.TAG_LIMIT_SCAN_COLUMNS)
 

@@ -6,6 +6,7 @@ the same id and replaces what it wrote, so every output holds each message once.
 """
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,17 @@ def _start(
     return writer.start()
 
 
+def _write_all(tables: BatchTables, frames: dict[str, DataFrame], batch_id: int) -> None:
+    """Write the outputs of a batch side by side; small ones do not wait for large ones."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        writes = [
+            pool.submit(tables.write, frame, table, batch_id, plans.PARTITIONS.get(table, ()))
+            for table, frame in frames.items()
+        ]
+    for write in writes:
+        write.result()
+
+
 def write_documents_batch(
     rows: DataFrame,
     batch_id: int,
@@ -60,8 +72,8 @@ def write_documents_batch(
     parsed = messages.parse_machine_messages(rows, _now(), mode).persist()
     try:
         plan = plans.machine_plan if with_alarms else plans.learning_plan
-        for table, frame in plan(parsed, masters, typed, widen_ints).items():
-            tables.write(frame, table, batch_id, plans.PARTITIONS.get(table, ()))
+        frames = plan(parsed, masters, typed, widen_ints)
+        _write_all(tables, frames, batch_id)
         if after is not None:
             after(messages.accepted(parsed), batch_id)
         tables.commit(parsed, batch_id)
@@ -142,9 +154,12 @@ def write_status_batch(
     try:
         before = current_assets(spark, tables, before=batch_id)
         updated, latest = plans.status_plan(parsed, masters, before, _now())
-        tables.write(updated, MASTER, batch_id)
-        tables.write(messages.quarantined(parsed), plans.QUARANTINE, batch_id)
-        tables.write(status.status_issues(latest), plans.ISSUES, batch_id)
+        frames = {
+            MASTER: updated,
+            plans.QUARANTINE: messages.quarantined(parsed),
+            plans.ISSUES: status.status_issues(latest),
+        }
+        _write_all(tables, frames, batch_id)
         tables.commit(parsed, batch_id)
     finally:
         parsed.unpersist()
