@@ -91,7 +91,7 @@ class Masters:
 
     site: str
     confirmed: Lookup  # asset_id
-    tags: Lookup  # prepared tags
+    tags: Lookup  # prepared tags of confirmed assets
 
     def release(self) -> None:
         self.confirmed.frame.unpersist()
@@ -101,11 +101,15 @@ class Masters:
 def load_masters(
     assets: DataFrame, tags: DataFrame, codes: DataFrame, site: str, keep: bool = False
 ) -> Masters:
-    """Read, prepare and measure the masters; ``keep`` caches them for many joins."""
+    """Read, prepare and measure the masters; ``keep`` caches them for many joins.
+
+    Tags of unconfirmed assets are dropped here, so that joining messages to the
+    tags also tells modelled assets from the others.
+    """
     confirmed = confirmed_assets(assets, site)
-    prepared = prepare_tags(tags, codes, site)
-    if keep:
-        confirmed, prepared = confirmed.persist(), prepared.persist()
+    confirmed = confirmed.persist() if keep else confirmed
+    prepared = prepare_tags(tags, codes, site).join(confirmed, "asset_id", "left_semi")
+    prepared = prepared.persist() if keep else prepared
     return Masters(site, *measure(confirmed, prepared))
 
 

@@ -36,7 +36,7 @@ def cell_text(value: str, schema: str, double_tag: str, widen_ints: bool = False
 
 
 def document_tags(messages: DataFrame, tags: Lookup) -> DataFrame:
-    """One row per message and tag of its asset, with the tag's ``value``.
+    """One row per message of a modelled asset and tag, with the tag's ``value``.
 
     A missing key keeps its row with a NULL value.
     """

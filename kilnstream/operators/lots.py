@@ -1,27 +1,29 @@
 """Work per lot: counts, payload hand-over to outside code, chart series.
 
 One lot may hold a large share of all messages, so none of these brings a whole
-lot into one task.  Outside code gets a lot in pieces: the messages of one
-source partition whose offsets lie in one range of ``chunk`` offsets.  Offsets
-are unique in a partition, so a piece has at most ``chunk`` messages, and the
-pieces do not depend on how Spark happens to partition the data.
+lot into one task.  Outside code gets a lot in pieces of consecutive messages
+of one source partition.  A lot of at most ``chunk`` messages is one piece; a
+larger one is cut so that no piece has more than ``2 * chunk`` messages.
 """
 
 import subprocess
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnstream import schemas
 from kilnstream.functions import variants
 from kilnstream.operators.alarms import minute_key
 from kilnstream.operators.once import once
+from kilnstream.sources.shared import shared_folder
 
 CHUNK = 100_000
 
-PIECE = ["lot_no", "topic", "partition", "chunk"]
+SOURCE = ["lot_no", "topic", "partition"]
+PIECE = [*SOURCE, "piece"]
+PIECE_SCHEMA = "lot_no string, topic string, partition int, piece bigint"
 
 
 def count_by(messages: DataFrame, key: str) -> DataFrame:
@@ -33,11 +35,47 @@ def lot_payloads(messages: DataFrame) -> DataFrame:
     return messages.select("lot_no", *schemas.MESSAGE_KEY, "timestamp", "payload")
 
 
+def _later_pieces(ranged: DataFrame, chunk: int) -> DataFrame:
+    """Piece of every offset range that lies beyond the first ``chunk`` messages of its lot.
+
+    Offsets are unique in a source partition, so a range of ``chunk`` offsets has
+    at most ``chunk`` messages.  Ranges are counted before they are shuffled, and
+    only their counts are summed along a lot.
+    """
+    counts = ranged.groupBy(*SOURCE, "offset_range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(
+        Window.partitionBy(*SOURCE).orderBy("offset_range")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    summed = counts.select(*SOURCE, "offset_range", before.alias("n_before"))
+    return (
+        summed.withColumn("piece", F.expr(f"n_before div {chunk}")).drop("n_before")
+        .where("piece > 0")
+    )
+
+
 def _pieces(messages: DataFrame, chunk: int) -> DataFrame:
+    """Payloads with their ``piece``, each piece in one task and in arrival order.
+
+    Most lots are one piece.  The list of further pieces is written down first:
+    its size then decides how it is joined, and the messages are not counted
+    again when a task is.
+    """
     if chunk < 1:
         raise ValueError("chunk must be positive")
-    return lot_payloads(messages).withColumn(
-        "chunk", F.floor(F.col("offset") / chunk).cast("bigint")
+    spark = messages.sparkSession
+    ranged = lot_payloads(messages).withColumn(
+        "offset_range", F.expr(f"`offset` div {chunk}")
+    )
+    folder = shared_folder(spark)
+    _later_pieces(ranged, chunk).write.parquet(folder)
+    later = spark.read.schema(f"{PIECE_SCHEMA}, offset_range bigint").parquet(folder)
+    return (
+        ranged.join(later, [*SOURCE, "offset_range"], "left")
+        .withColumn("piece", F.coalesce("piece", F.lit(0).cast("bigint")))
+        .drop("offset_range")
+        .repartition(*PIECE)
+        .sortWithinPartitions(*PIECE, "offset")
     )
 
 
@@ -49,13 +87,21 @@ def apply_to_lots(
 ) -> DataFrame:
     """Run ``function`` on every piece of every lot, messages in arrival order.
 
-    It gets the columns ``lot_no, topic, partition, offset, timestamp, payload,
-    chunk`` and returns rows of ``schema``.
+    It gets the columns ``lot_no, topic, partition, piece, offset, timestamp,
+    payload`` and returns rows of ``schema``.
     """
-    def in_order(piece: pd.DataFrame) -> pd.DataFrame:
-        return function(piece.sort_values("offset", ignore_index=True))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_piece: list[pd.DataFrame] = []
+        for batch in batches:
+            for _, part in batch.groupby(PIECE, sort=False):
+                if open_piece and not part[PIECE].iloc[0].equals(open_piece[0][PIECE].iloc[0]):
+                    yield function(pd.concat(open_piece, ignore_index=True))
+                    open_piece = []
+                open_piece.append(part)
+        if open_piece:
+            yield function(pd.concat(open_piece, ignore_index=True))
 
-    return _pieces(messages, chunk).groupBy(*PIECE).applyInPandas(in_order, schema)
+    return _pieces(messages, chunk).mapInPandas(run, schema)
 
 
 def run_on_lots(messages: DataFrame, command: list[str], chunk: int = CHUNK) -> DataFrame:
@@ -72,14 +118,11 @@ def run_on_lots(messages: DataFrame, command: list[str], chunk: int = CHUNK) ->
         if done.returncode:
             out.loc[len(out)] = [len(lines), None, f"exit {done.returncode}: {done.stderr}"]
         head = {name: piece[name].iloc[0] for name in PIECE}
-        return out.assign(**head)[[*PIECE, "line_no", "line", "error"]]
+        return out.assign(**head)
 
     one_line = messages.withColumn("payload", F.translate("payload", "\r\n", "  "))
     return apply_to_lots(
-        one_line, run,
-        "lot_no string, topic string, partition int, chunk bigint, "
-        "line_no bigint, line string, error string",
-        chunk,
+        one_line, run, f"{PIECE_SCHEMA}, line_no bigint, line string, error string", chunk
     )
 
 
@@ -89,16 +132,11 @@ def pipe_lots(messages: DataFrame, command: str, chunk: int = CHUNK) -> DataFram
     A task gets whole pieces, each in arrival order.  A failing command fails
     its task.
     """
-    ordered = (
-        _pieces(messages, chunk)
-        .select(*PIECE, "offset",
-                F.concat_ws("\t", "lot_no", F.translate("payload", "\r\n", "  ")).alias("line"))
-        .repartition(*PIECE)
-        .sortWithinPartitions(*PIECE, "offset")
-        .select("line")
+    lines = _pieces(messages, chunk).select(
+        F.concat_ws("\t", "lot_no", F.translate("payload", "\r\n", "  ")).alias("line")
     )
-    lines = ordered.rdd.map(lambda row: row["line"]).pipe(command, checkCode=True)
-    return messages.sparkSession.createDataFrame(lines.map(lambda line: (line,)), "line string")
+    piped = lines.rdd.map(lambda row: row["line"]).pipe(command, checkCode=True)
+    return messages.sparkSession.createDataFrame(piped.map(lambda line: (line,)), "line string")
 
 
 def chart_series(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:

@@ -37,11 +37,10 @@ def learning_plan(
 ) -> dict[str, DataFrame]:
     """Documents, cells and wide rows of parsed machine messages."""
     accepted = messages.accepted(parsed)
-    modelled = assets.modelled(accepted, masters)
-    pairs = cells.document_tags(modelled, masters.tags)
+    pairs = cells.document_tags(accepted, masters.tags)
     return {
         DOCUMENTS: stored_documents(accepted),
-        WIDE: cells.wide_rows(modelled, masters, typed=typed, widen_ints=widen_ints),
+        WIDE: cells.wide_rows(accepted, masters, typed=typed, widen_ints=widen_ints),
         CELLS: cells.typed_cells(pairs, widen_ints).select(
             *schemas.MESSAGE_KEY, "asset_id", "tag_id", "alias", "cell"
         ),
@@ -55,8 +54,7 @@ def machine_alarms(
     accepted: DataFrame, masters: Masters, widen_ints: bool = False
 ) -> DataFrame:
     """Alarm records of accepted machine messages."""
-    modelled = assets.modelled(accepted, masters)
-    pairs = cells.document_tags(modelled, alarms.limited_tags(masters.tags))
+    pairs = cells.document_tags(accepted, alarms.limited_tags(masters.tags))
     return alarms.alarm_history(alarms.alarm_levels(pairs, widen_ints))
 
 

@@ -7,7 +7,6 @@ from kilnstream import fixed
 from kilnstream.operators import assets, messages
 from kilnstream.operators.assets import Masters
 from kilnstream.sources import derived
-from kilnstream.sources.spread import spread
 
 SITE = derived.SITE
 
@@ -19,11 +18,11 @@ def utc(spark: SparkSession) -> SparkSession:
 
 
 def machine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(derived.machine_messages(utc(spark), sf_dir), "offset")
+    return derived.machine_messages(utc(spark), sf_dir)
 
 
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(derived.status_messages(utc(spark), sf_dir), "offset")
+    return derived.status_messages(utc(spark), sf_dir)
 
 
 def masters(spark: SparkSession, sf_dir: str) -> Masters:

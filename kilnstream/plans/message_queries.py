@@ -10,8 +10,8 @@ from kilnstream.operators import alarms, assets, cells, lots, messages, status
 from kilnstream.plans import batch, inputs
 from kilnstream.sources import derived
 
-# Offsets per piece in the lot queries; small, so that lots really are cut.
-QUERY_CHUNK = 4096
+# Messages per piece in the lot query; small, so that lots really are cut.
+QUERY_CHUNK = 64
 
 
 def event_id() -> Column:
@@ -20,13 +20,13 @@ def event_id() -> Column:
 
 
 def message_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derived.machine_messages(inputs.utc(spark), sf_dir)
+    rows = inputs.machine_messages(spark, sf_dir)
     as_bytes = rows.withColumn("value", F.encode("value", "UTF-8"))
     return messages.message_text(as_bytes).select(event_id(), "value")
 
 
 def lot_blank_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derived.machine_messages(inputs.utc(spark), sf_dir)
+    rows = inputs.machine_messages(spark, sf_dir)
     return messages.repair_lot(rows).select(event_id(), "value")
 
 
@@ -104,19 +104,17 @@ def unmodelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def asset_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     masters = inputs.masters(spark, sf_dir)
-    return masters.tags.frame.join(masters.confirmed.frame, "asset_id", "left_semi").select(
-        "asset_id", "tag_id", "alias"
-    )
+    return masters.tags.frame.select("asset_id", "tag_id", "alias")
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     masters = inputs.masters(spark, sf_dir)
-    return cells.document_tags(inputs.modelled(spark, sf_dir), masters.tags)
+    return cells.document_tags(inputs.accepted(spark, sf_dir), masters.tags)
 
 
 def _limited_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = alarms.limited_tags(inputs.masters(spark, sf_dir).tags)
-    return cells.document_tags(inputs.modelled(spark, sf_dir), tags)
+    return cells.document_tags(inputs.accepted(spark, sf_dir), tags)
 
 
 def document_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,13 +135,13 @@ def _event_first(rows: DataFrame) -> DataFrame:
 
 
 def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cells.wide_rows(inputs.modelled(spark, sf_dir), inputs.masters(spark, sf_dir))
+    rows = cells.wide_rows(inputs.accepted(spark, sf_dir), inputs.masters(spark, sf_dir))
     return _event_first(rows)
 
 
 def wide_rows_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     masters = inputs.masters(spark, sf_dir)
-    return _event_first(cells.wide_rows(inputs.modelled(spark, sf_dir), masters, typed=True))
+    return _event_first(cells.wide_rows(inputs.accepted(spark, sf_dir), masters, typed=True))
 
 
 def wide_rows_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +154,7 @@ def wide_rows_one_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     masters = inputs.masters(spark, sf_dir)
     of_asset = F.col("asset_id") == "Machine006"
     columns = cells.wide_columns(masters.tags.frame.where(of_asset))
-    rows = inputs.modelled(spark, sf_dir).where(of_asset)
+    rows = inputs.accepted(spark, sf_dir).where(of_asset)
     return _event_first(cells.wide_rows(rows, masters, columns))
 
 
@@ -214,24 +212,24 @@ def lot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     def numbered(piece: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({
             "lot_no": piece["lot_no"],
-            "chunk": piece["chunk"],
+            "piece": piece["piece"],
             "seq": range(1, len(piece) + 1),
             "event_id": piece["offset"],
         })
 
     return lots.apply_to_lots(
         inputs.accepted(spark, sf_dir), numbered,
-        "lot_no string, chunk bigint, seq bigint, event_id bigint", QUERY_CHUNK,
+        "lot_no string, piece bigint, seq bigint, event_id bigint", QUERY_CHUNK,
     )
 
 
 def lot_command(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lots.run_on_lots(inputs.accepted(spark, sf_dir), ["cat"], QUERY_CHUNK)
-    return rows.select("lot_no", "chunk", "line_no", "line", "error")
+    rows = lots.run_on_lots(inputs.accepted(spark, sf_dir), ["cat"])
+    return rows.select("lot_no", "line_no", "line", "error")
 
 
 def lot_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lots.pipe_lots(inputs.accepted(spark, sf_dir), "cat", QUERY_CHUNK)
+    return lots.pipe_lots(inputs.accepted(spark, sf_dir), "cat")
 
 
 def lot_chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,7 +113,17 @@ LIMITS = "".join(
     for level in ("info", "worm", "emer") for side in ("min", "max")
 )
 
-PIECE = f"event_id // {QUERY_CHUNK}"
+# Pieces of a lot: offset ranges, cut by the number of messages before them.
+LOT_PIECES = f"""
+, ranges AS (
+  SELECT lot_no, event_id // {QUERY_CHUNK} AS r, count(*) AS n FROM msg GROUP BY 1, 2),
+pieces AS (
+  SELECT lot_no, r, CAST(coalesce(sum(n) OVER (PARTITION BY lot_no ORDER BY r
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {QUERY_CHUNK} AS BIGINT) AS piece
+  FROM ranges)
+SELECT m.lot_no, p.piece, row_number() OVER (PARTITION BY m.lot_no, p.piece ORDER BY event_id)
+       AS seq, event_id
+FROM msg m JOIN pieces p ON p.lot_no = m.lot_no AND p.r = m.event_id // {QUERY_CHUNK}"""
 
 TAG_INFO = """
 SELECT 'VTAG_' || CAST(p_partkey AS VARCHAR) AS TAG_ID, p_name AS TAG_NM,
@@ -191,11 +201,10 @@ def _over_messages() -> dict[str, str]:
         "group_by_asset": "SELECT asset_id, CAST(count(*) AS BIGINT) AS n FROM msg GROUP BY 1",
         "group_by_lot": "SELECT lot_no, CAST(count(*) AS BIGINT) AS n FROM msg GROUP BY 1",
         "lot_payloads": f"SELECT lot_no, event_id, {REPAIRED} AS payload FROM msg",
-        "lot_apply": f"SELECT lot_no, {PIECE} AS chunk, row_number() OVER (PARTITION BY lot_no, "
-                     f"{PIECE} ORDER BY event_id) AS seq, event_id FROM msg",
-        "lot_command": f"SELECT lot_no, {PIECE} AS chunk, row_number() OVER (PARTITION BY lot_no, "
-                       f"{PIECE} ORDER BY event_id) - 1 AS line_no, {REPAIRED} AS line, "
-                       "CAST(NULL AS VARCHAR) AS error FROM msg",
+        "lot_apply": LOT_PIECES,
+        "lot_command": "SELECT lot_no, row_number() OVER (PARTITION BY lot_no ORDER BY event_id) "
+                       f"- 1 AS line_no, {REPAIRED} AS line, CAST(NULL AS VARCHAR) AS error "
+                       "FROM msg",
         "lot_pipe": f"SELECT lot_no || chr(9) || {REPAIRED} AS line FROM msg",
         "lot_chart_series": "SELECT lot_no, minute_key AS minute, alias, "
                             "CAST(count(*) AS BIGINT) AS n, min(num) AS min_val, "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
 from kilnstream.functions.text import quoted
+from kilnstream.sources.spread import spread
 
 SITE = "SITE_00001"
 OTHER_SITE = "SITE_00002"
@@ -82,7 +83,8 @@ def machine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("8", "CAST(event_id AS STRING)"),
         ("100", _double(PROP_K)),
     ])
-    return events(spark, sf_dir).selectExpr(*_key("dispMachine"), f"{value} AS value")
+    rows = spread(events(spark, sf_dir), "event_id")
+    return rows.selectExpr(*_key("dispMachine"), f"{value} AS value")
 
 
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +97,8 @@ def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("growStatus", _text(f"concat('G', {PROP_K} % 2)")),
         ("datetime", _text("CAST(ts AS STRING)")),
     ])
-    return events(spark, sf_dir).selectExpr(*_key("dispMachineStatus"), f"{value} AS value")
+    rows = spread(events(spark, sf_dir), "event_id")
+    return rows.selectExpr(*_key("dispMachineStatus"), f"{value} AS value")
 
 
 def _machines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,10 +66,11 @@ def write_documents_batch(
     after: BatchHook | None = None,
 ) -> None:
     """One batch of the machine or the learning job, streamed or backfilled."""
-    if rows.isEmpty():
+    parsed = messages.parse_machine_messages(rows, _now(), mode).persist()
+    if parsed.isEmpty():
+        parsed.unpersist()
         return
     masters = load_masters(rows.sparkSession)
-    parsed = messages.parse_machine_messages(rows, _now(), mode).persist()
     try:
         plan = plans.machine_plan if with_alarms else plans.learning_plan
         frames = plan(parsed, masters, typed, widen_ints)
@@ -146,11 +147,12 @@ def write_status_batch(
     mode: str = messages.QUARANTINE,
 ) -> None:
     """One batch of the status job: the next version of the asset master."""
-    if rows.isEmpty():
-        return
     spark = rows.sparkSession
-    masters = load_masters(spark)
     parsed = messages.parse_status_messages(rows, mode).persist()
+    if parsed.isEmpty():
+        parsed.unpersist()
+        return
+    masters = load_masters(spark)
     try:
         before = current_assets(spark, tables, before=batch_id)
         updated, latest = plans.status_plan(parsed, masters, before, _now())
