@@ -51,7 +51,7 @@ def schema_text(value: str) -> str:
 
 def _wraps(schema: str, member_name: str) -> str:
     return (f"(startswith({schema}, 'OBJECT<`{member_name}`: ') "
-            f"AND NOT contains({schema}, ', `'))")
+            f"AND NOT contains({schema}, ', '))")
 
 
 def _plain_double(schema: str) -> str:
