@@ -5,11 +5,7 @@ existing stores already use; changing one of them changes results.
 """
 
 # Keys of a machine document.
-KEY_YEAR = "0"
-KEY_MONTH = "1"
-KEY_DAY = "2"
-KEY_HOUR = "3"
-KEY_MINUTE = "4"
+TIME_KEYS = ("0", "1", "2", "3", "4")  # year of the century, month, day, hour, minute
 KEY_LOT = "5"
 
 # Keys of a status document and the master columns they feed.

@@ -48,26 +48,26 @@ def alarm_levels(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
     )
 
 
-def minute_key(members: str) -> str:
-    """``20yyMMddHHmm`` of a message; NULL unless all five parts are DOUBLE."""
-    def part(key: str) -> str:
-        return text.whole_part(variants.double_member(members, key))
-
-    padded = [text.pad_single(part(key)) for key in
-              (fixed.KEY_MONTH, fixed.KEY_DAY, fixed.KEY_HOUR, fixed.KEY_MINUTE)]
-    return f"concat({quoted(fixed.CENTURY)}, {part(fixed.KEY_YEAR)}, {', '.join(padded)})"
-
-
-def time_key(members: str, key_part: str) -> str:
-    """Minute of the message followed by the padded mapping key."""
-    return f"concat({minute_key(members)}, {key_part})"
+def with_minute(rows: DataFrame) -> DataFrame:
+    """Add ``minute_key``, ``20yyMMddHHmm`` of a message; NULL unless all parts are DOUBLE."""
+    keys = ", ".join(quoted(key) for key in fixed.TIME_KEYS)
+    number = variants.double_value("x.v", "x.s")
+    timed = once(rows, _parts=f"transform(array({keys}), k -> try_element_at(members, k))")
+    timed = once(timed, _parts_typed=(
+        "transform(_parts, v -> named_struct('v', v, 's', schema_of_variant(v)))"
+    ))
+    timed = once(timed, _parts_text=f"transform(_parts_typed, x -> {text.whole_part(number)})")
+    year, *others = [f"_parts_text[{i}]" for i in range(len(fixed.TIME_KEYS))]
+    padded = ", ".join(text.pad_single(part) for part in others)
+    minute = f"concat({quoted(fixed.CENTURY)}, {year}, {padded})"
+    return once(timed, minute_key=minute).drop("_parts", "_parts_typed", "_parts_text")
 
 
 def alarm_history(fired: DataFrame) -> DataFrame:
     """Alarm records; the message key makes them unique where the alarm id does not."""
-    return fired.selectExpr(
+    return with_minute(fired).selectExpr(
         *map(text.name, schemas.MESSAGE_KEY),
-        f"concat(lot_no, '_', {time_key('members', 'key_part')}) AS alarm_id",
+        "concat(lot_no, '_', minute_key, key_part) AS alarm_id",
         "site_id", "asset_id", "tag_id",
         "crt_dtm AS alarm_date_time",
         "alarm_val", "alarm_level_cd",

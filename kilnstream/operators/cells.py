@@ -82,15 +82,19 @@ def double_columns(tags: DataFrame, columns: list[str]) -> set[str]:
     return {row["alias"] for row in rows}
 
 
-def _tags_by_alias(tags: Lookup) -> Lookup:
-    """One row per asset: alias -> (mapping key, is a DOUBLE tag)."""
-    entry = F.struct("alias", F.struct("mapping_key", "double_tag"))
-    frame = (
-        alias_tags(tags.frame)
+def _tags_by_column(tags: Lookup, columns: list[str]) -> Lookup:
+    """One row per asset: for every wide column its tag, or NULL."""
+    listed = ", ".join(quoted(alias) for alias in columns)
+    by_asset = (
+        tags.frame.where("alias IS NOT NULL")
         .groupBy("asset_id")
-        .agg(F.map_from_entries(F.collect_list(entry)).alias("tag_of"))
+        .agg(F.array_sort(F.collect_list(
+            F.struct("tag_id", "mapping_key", "double_tag", "alias")
+        )).alias("tags"))
     )
-    return tags.narrowed(frame)
+    first_tag = "try_element_at(filter(tags, t -> t.alias = column), 1)"
+    column_tags = f"transform(array({listed}), column -> {first_tag})"
+    return tags.narrowed(by_asset.selectExpr("asset_id", f"{column_tags} AS column_tags"))
 
 
 def wide_rows(
@@ -105,17 +109,21 @@ def wide_rows(
     tags = masters.tags
     columns = wide_columns(tags.frame) if columns is None else columns
     doubles = double_columns(tags.frame, columns) if typed else set()
-    rows = join_lookup(messages, _tags_by_alias(tags), ["asset_id"])
-    tag = [f"try_element_at(tag_of, {quoted(alias)})" for alias in columns]
-    rows = once(rows, **{
-        f"_v{i}": variants.member("members", f"{t}.mapping_key") for i, t in enumerate(tag)
-    })
-    rows = once(rows, **{f"_s{i}": variants.schema_text(f"_v{i}") for i in range(len(tag))})
+    rows = join_lookup(messages, _tags_by_column(tags, columns), ["asset_id"])
+    rows = once(rows, _values=(
+        "transform(column_tags, t -> named_struct("
+        f"'v', {variants.member('members', 't.mapping_key')}, 'd', t.double_tag))"
+    ))
+    rows = once(rows, _typed=(
+        "transform(_values, x -> named_struct("
+        f"'v', x.v, 'd', x.d, 's', {variants.schema_text('x.v')}))"
+    ))
+    rows = once(rows, _cells=(
+        f"transform(_typed, x -> {cell_text('x.v', 'x.s', 'x.d', widen_ints)})"
+    ))
     cells = []
     for i, alias in enumerate(columns):
-        cell = cell_text(f"_v{i}", f"_s{i}", f"{tag[i]}.double_tag", widen_ints)
-        if alias in doubles:
-            cell = f"try_cast({cell} AS DOUBLE)"
+        cell = f"try_cast(_cells[{i}] AS DOUBLE)" if alias in doubles else f"_cells[{i}]"
         cells.append(f"{cell} AS {text.name(alias)}")
     return rows.selectExpr(*map(text.name, [*schemas.MESSAGE_KEY, "asset_id", *keep]), *cells)
 

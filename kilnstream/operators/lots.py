@@ -10,16 +10,17 @@ import subprocess
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnstream import schemas
 from kilnstream.functions import variants
-from kilnstream.operators.alarms import minute_key
+from kilnstream.operators.alarms import with_minute
 from kilnstream.operators.once import once
 from kilnstream.sources.shared import shared_folder
 
 CHUNK = 100_000
+RANGE_BLOCK = 4096
 
 SOURCE = ["lot_no", "topic", "partition"]
 PIECE = [*SOURCE, "piece"]
@@ -40,16 +41,30 @@ def _later_pieces(ranged: DataFrame, chunk: int) -> DataFrame:
 
     Offsets are unique in a source partition, so a range of ``chunk`` offsets has
     at most ``chunk`` messages.  Ranges are counted before they are shuffled, and
-    only their counts are summed along a lot.
+    only counts are summed along a lot: first over blocks of ``RANGE_BLOCK``
+    ranges, then inside each block, so that no long lot is summed in one task.
     """
-    counts = ranged.groupBy(*SOURCE, "offset_range").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(
-        Window.partitionBy(*SOURCE).orderBy("offset_range")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        ranged.groupBy(*SOURCE, "offset_range").agg(F.count("*").alias("n"))
+        .withColumn("block", F.expr(f"offset_range div {RANGE_BLOCK}"))
+    )
+    blocks = counts.groupBy(*SOURCE, "block").agg(F.sum("n").alias("n"))
+
+    def n_before(keys: list[str], order: str) -> Column:
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        return F.coalesce(F.sum("n").over(earlier), F.lit(0))
+
+    block_starts = blocks.select(*SOURCE, "block", n_before(SOURCE, "block").alias("block_start"))
+    in_block = counts.select(
+        *SOURCE, "block", "offset_range",
+        n_before([*SOURCE, "block"], "offset_range").alias("range_start"),
     )
-    summed = counts.select(*SOURCE, "offset_range", before.alias("n_before"))
     return (
-        summed.withColumn("piece", F.expr(f"n_before div {chunk}")).drop("n_before")
+        in_block.join(block_starts, [*SOURCE, "block"])
+        .select(*SOURCE, "offset_range",
+                F.expr(f"(block_start + range_start) div {chunk}").alias("piece"))
         .where("piece > 0")
     )
 
@@ -145,11 +160,8 @@ def chart_series(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
     Counted before the shuffle, so a large lot costs its own tasks only.
     """
     numbered = once(pairs, number=variants.double_value("value", "value_schema", widen_ints))
-    points = numbered.where("number IS NOT NULL").select(
-        "lot_no", F.expr(minute_key("members")).alias("minute"), "alias", "number",
-        *schemas.ARRIVAL,
-    )
-    return points.groupBy("lot_no", "minute", "alias").agg(
+    points = with_minute(numbered.where("number IS NOT NULL"))
+    return points.withColumnRenamed("minute_key", "minute").groupBy("lot_no", "minute", "alias").agg(
         F.count("*").alias("n"),
         F.min("number").alias("min_val"),
         F.max("number").alias("max_val"),

@@ -174,8 +174,9 @@ def alarm_null_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alarm_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.expr(alarms.time_key("members", "key_part"))
-    return _pairs(spark, sf_dir).select(event_id(), "tag_id", key.alias("time_key"))
+    key = F.concat("minute_key", "key_part")
+    timed = alarms.with_minute(_pairs(spark, sf_dir))
+    return timed.select(event_id(), "tag_id", key.alias("time_key"))
 
 
 def alarm_history(spark: SparkSession, sf_dir: str) -> DataFrame:

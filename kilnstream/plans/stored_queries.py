@@ -160,19 +160,19 @@ def jdbc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     options, table = _tag_table(spark, sf_dir)
-    jdbc.register_view(spark, options, table, table)
+    jdbc.register_view(_read_tags(spark, options, table), table)
     return spark.sql(f"SELECT * FROM {table} WHERE cycle > 8000")
 
 
 def limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 50 rows; the report is the feature."""
     options, table = _tag_table(spark, sf_dir)
-    return jdbc.read_table(spark, options, table).orderBy("TAG_ID").limit(50)
+    return _read_tags(spark, options, table).orderBy("TAG_ID").limit(50)
 
 
 def sql_insert_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     options, table = _tag_table(spark, sf_dir)
-    jdbc.register_view(spark, options, table, table)
+    jdbc.register_view(_read_tags(spark, options, table), table)
     spark.sql(f"INSERT INTO {table} VALUES ({values_list(INSERTED_TAG)})")
     return spark.sql(f"SELECT * FROM {table} WHERE cycle > 8000")
 
@@ -187,7 +187,7 @@ def sql_insert_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
         [column.alias(name) for name, column in zip(DAY_COLUMNS, parts + rest)]
     )
     jdbc.append(rows, options, table)
-    jdbc.register_view(spark, options, table, table)
+    jdbc.register_view(jdbc.read_table(spark, options, table), table)
     spark.sql(f"INSERT INTO {table} VALUES ({values_list(INSERTED_DAY)})")
     return spark.table(table)
 
@@ -267,12 +267,15 @@ def stream_status_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.current_assets(spark, tables).drop("stat_order", "stat_chg_dtm")
 
 
-# Upper info limit of tag T07 and T100 in each batch of the refresh query.
+# Upper info limit of the limited tags in each batch of the refresh query.
 INFO_MAX_BY_BATCH = ("150", "60", "20")
 
 
 def stream_dim_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alarms per batch while the masters' info limits change between batches."""
+    """Alarms per batch while the masters' info limits change between batches.
+
+    Every message goes into exactly one of the batches.
+    """
     rows = inputs.machine_messages(spark, sf_dir)
     folder, tables = shared_folder(spark), BatchTables(shared_folder(spark))
     limits: list[str] = []

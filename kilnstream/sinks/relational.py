@@ -7,8 +7,11 @@ alarms of a batch appear together and once.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kilnstream import fixed
+from kilnstream.operators import cells
+from kilnstream.operators.assets import Masters
 from kilnstream.sources import jdbc
 
 
@@ -72,6 +75,26 @@ def write_batch(
     run_in_transaction(spark, options, statements)
 
 
+def asset_frames(
+    accepted: DataFrame, masters: Masters, asset_ids: list[str], batch_id: int, suffix: str = ""
+) -> dict[str, DataFrame]:
+    """Wide rows for stores that keep one table per asset, by table name.
+
+    Each table has just its asset's aliases.  Writing costs a job per asset, so
+    this is for callers who need such tables; the file tables hold all assets.
+    """
+    frames = {}
+    for asset_id in asset_ids:
+        of_asset = F.col("asset_id") == asset_id
+        columns = cells.wide_columns(masters.tags.frame.where(of_asset))
+        if columns:
+            rows = cells.wide_rows(accepted.where(of_asset), masters, columns)
+            frames[f"{asset_id}{suffix}"] = rows.drop("asset_id").withColumn(
+                "batch_id", F.lit(batch_id).cast("bigint")
+            )
+    return frames
+
+
 def status_statement(
     table: str, stage: str, quote: str = '"', changed_at: str = "stat_chg_dtm"
 ) -> str:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from kilnstream.operators.lookup import join_lookup, measure
+
 COMMITS = "commits"
 COMMIT_SCHEMA = (
     "topic string, partition int, min_offset bigint, max_offset bigint, n bigint, "
@@ -96,7 +98,9 @@ def drop_replayed(messages: DataFrame, tables: BatchTables) -> DataFrame:
     commits = tables.commits(messages.sparkSession)
     if commits is None:
         return messages
-    done = commits.groupBy("topic", "partition").agg(F.max("max_offset").alias("_done"))
-    marked = messages.join(done, ["topic", "partition"], "left")
+    [done] = measure(
+        commits.groupBy("topic", "partition").agg(F.max("max_offset").alias("_done"))
+    )
+    marked = join_lookup(messages, done, ["topic", "partition"], "left")
     new = F.col("_done").isNull() | (F.col("offset") > F.col("_done"))
     return marked.where(new).select(*messages.columns)

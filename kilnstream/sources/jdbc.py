@@ -59,11 +59,12 @@ def read_masters(
     return assets, tags
 
 
-def register_view(
-    spark: SparkSession, options: dict[str, str], table: str, view: str, **reading
-) -> None:
-    """Make a table known to ``spark.sql``, for SELECT and INSERT INTO."""
-    read_table(spark, options, table, **reading).createOrReplaceTempView(view)
+def register_view(rows: DataFrame, view: str) -> None:
+    """Make a table read by ``read_table`` known to ``spark.sql``.
+
+    SELECT pushes its filters to the store; INSERT INTO appends to the table.
+    """
+    rows.createOrReplaceTempView(view)
 
 
 def append(rows: DataFrame, options: dict[str, str], table: str, **write_options) -> None:

@@ -3,10 +3,11 @@
 import uuid
 
 import pytest
-from conftest import ASSET_COLUMNS, SITE, tag, tag_frame
+from conftest import ASSET_COLUMNS, SITE, document, tag, tag_frame
 from pyspark.sql import functions as F
 
 from kilnstream import schemas
+from kilnstream.operators import messages
 from kilnstream.sinks import relational
 from kilnstream.sources import jdbc
 
@@ -80,6 +81,24 @@ def test_batch_publication_is_atomic_and_replay_safe(spark, table):
     assert counts() == [5, 5]
 
 
+def test_one_table_per_asset(spark, masters_of, texts):
+    masters = masters_of([(SITE, "Machine001", "Y"), (SITE, "Machine002", "Y"),
+                          (SITE, "Machine003", "Y")],
+                         [tag("Machine001", "T1", "7", "c7"), tag("Machine002", "T2", "8", "c8")])
+    rows = messages.accepted(messages.parse_machine_messages(texts(
+        document('"7": 1.5, "8": 2.5'), document('"7": 3.5, "8": 4.5', lot="LOT__002_1"))))
+    suffix = f"_{uuid.uuid4().hex[:12]}"
+    assets = ["Machine001", "Machine002", "Machine003"]
+    frames = relational.asset_frames(rows, masters, assets, 4, suffix)
+    assert sorted(frames) == [f"Machine001{suffix}", f"Machine002{suffix}"]
+    for name, frame in frames.items():
+        for made in (name, f"{name}_stage"):
+            jdbc.append(frame.limit(0), OPTIONS, made)
+    relational.write_batch(spark, OPTIONS, frames, 4)
+    found = jdbc.read_table(spark, OPTIONS, f"Machine002{suffix}").select("offset", "c8").collect()
+    assert [tuple(r) for r in found] == [(1, "4.5")]
+
+
 def test_status_update_in_place(spark, table):
     master = spark.createDataFrame(
         [(SITE, "A", "Y"), (SITE, "B", "Y"), ("S2", "A", "Y")], ASSET_COLUMNS
