@@ -50,17 +50,18 @@ def alarm_levels(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
 
 def with_minute(rows: DataFrame) -> DataFrame:
     """Add ``minute_key``, ``20yyMMddHHmm`` of a message; NULL unless all parts are DOUBLE."""
-    keys = ", ".join(quoted(key) for key in fixed.TIME_KEYS)
-    number = variants.double_value("x.v", "x.s")
-    timed = once(rows, _parts=f"transform(array({keys}), k -> try_element_at(members, k))")
-    timed = once(timed, _parts_typed=(
-        "transform(_parts, v -> named_struct('v', v, 's', schema_of_variant(v)))"
-    ))
-    timed = once(timed, _parts_text=f"transform(_parts_typed, x -> {text.whole_part(number)})")
-    year, *others = [f"_parts_text[{i}]" for i in range(len(fixed.TIME_KEYS))]
+    keys = fixed.TIME_KEYS
+    timed = once(rows, **{
+        f"_v{key}": variants.member("members", quoted(key)) for key in keys
+    })
+    timed = once(timed, **{f"_s{key}": variants.schema_text(f"_v{key}") for key in keys})
+    timed = once(timed, **{
+        f"_p{key}": text.whole_part(variants.double_value(f"_v{key}", f"_s{key}")) for key in keys
+    })
+    year, *others = [f"_p{key}" for key in keys]
     padded = ", ".join(text.pad_single(part) for part in others)
     minute = f"concat({quoted(fixed.CENTURY)}, {year}, {padded})"
-    return once(timed, minute_key=minute).drop("_parts", "_parts_typed", "_parts_text")
+    return once(timed, minute_key=minute).drop(*[f"_{c}{key}" for c in "vsp" for key in keys])
 
 
 def alarm_history(fired: DataFrame) -> DataFrame:

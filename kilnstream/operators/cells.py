@@ -22,6 +22,10 @@ KEY_MISSING = "mapped key missing"
 # A wide table wider than this belongs in long form.
 MAX_WIDE_COLUMNS = 4000
 
+# Wide columns computed by one step of generated code, and most columns done so.
+COLUMNS_PER_STEP = 2
+MAX_STEPWISE_COLUMNS = 32
+
 
 def cell_text(value: str, schema: str, double_tag: str, widen_ints: bool = False) -> str:
     """Cell of a value: NULL unless it is a DOUBLE, a STRING or a DATE_TIME."""
@@ -97,35 +101,56 @@ def _tags_by_column(tags: Lookup, columns: list[str]) -> Lookup:
     return tags.narrowed(by_asset.selectExpr("asset_id", f"{column_tags} AS column_tags"))
 
 
+def _cells_in_steps(rows: DataFrame, n: int, widen_ints: bool) -> tuple[DataFrame, list[str]]:
+    """Cells of ``n`` columns, a few at a time: generated code stays small enough to be fast."""
+    for start in range(0, n, COLUMNS_PER_STEP):
+        step = range(start, min(start + COLUMNS_PER_STEP, n))
+        rows = once(rows, **{
+            f"_v{i}": variants.member("members", f"column_tags[{i}].mapping_key") for i in step
+        })
+        rows = once(rows, **{f"_s{i}": variants.schema_text(f"_v{i}") for i in step})
+        rows = once(rows, **{
+            f"_c{i}": cell_text(f"_v{i}", f"_s{i}", f"column_tags[{i}].double_tag", widen_ints)
+            for i in step
+        }).drop(*[f"_{x}{i}" for x in "vs" for i in step])
+    return rows, [f"_c{i}" for i in range(n)]
+
+
+def _cells_in_array(rows: DataFrame, n: int, widen_ints: bool) -> tuple[DataFrame, list[str]]:
+    """Cells of any number of columns by one array expression; slower per cell."""
+    rows = once(rows, _values=(
+        "transform(column_tags, t -> named_struct("
+        f"'v', {variants.member('members', 't.mapping_key')}, 'd', t.double_tag))"
+    ))
+    rows = once(rows, _typed=(
+        "transform(_values, x -> named_struct("
+        f"'v', x.v, 'd', x.d, 's', {variants.schema_text('x.v')}))"
+    ))
+    rows = once(rows, _cells=(
+        f"transform(_typed, x -> {cell_text('x.v', 'x.s', 'x.d', widen_ints)})"
+    ))
+    return rows, [f"_cells[{i}]" for i in range(n)]
+
+
 def wide_rows(
     messages: DataFrame,
     masters: Masters,
     columns: list[str] | None = None,
     typed: bool = False,
     widen_ints: bool = False,
-    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per message of a modelled asset with tags, one column per alias."""
     tags = masters.tags
     columns = wide_columns(tags.frame) if columns is None else columns
     doubles = double_columns(tags.frame, columns) if typed else set()
     rows = join_lookup(messages, _tags_by_column(tags, columns), ["asset_id"])
-    rows = once(rows, _values=(
-        "transform(column_tags, t -> named_struct("
-        f"'v', {variants.member('members', 't.mapping_key')}, 'd', t.double_tag))"
-    ))
-    rows = once(rows, _typed=(
-        "transform(_values, x -> named_struct("
-        f"'v', x.v, 'd', x.d, 's', {variants.schema_text('x.v')}))"
-    ))
-    rows = once(rows, _cells=(
-        f"transform(_typed, x -> {cell_text('x.v', 'x.s', 'x.d', widen_ints)})"
-    ))
-    cells = []
-    for i, alias in enumerate(columns):
-        cell = f"try_cast(_cells[{i}] AS DOUBLE)" if alias in doubles else f"_cells[{i}]"
-        cells.append(f"{cell} AS {text.name(alias)}")
-    return rows.selectExpr(*map(text.name, [*schemas.MESSAGE_KEY, "asset_id", *keep]), *cells)
+    make = _cells_in_steps if len(columns) <= MAX_STEPWISE_COLUMNS else _cells_in_array
+    rows, cells = make(rows, len(columns), widen_ints)
+    named = [
+        f"{f'try_cast({cell} AS DOUBLE)' if alias in doubles else cell} AS {text.name(alias)}"
+        for alias, cell in zip(columns, cells)
+    ]
+    return rows.selectExpr(*map(text.name, [*schemas.MESSAGE_KEY, "asset_id"]), *named)
 
 
 def wide_rows_by_pivot(cells: DataFrame, tags: DataFrame, columns: list[str]) -> DataFrame:

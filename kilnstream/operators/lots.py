@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from kilnstream import schemas
 from kilnstream.functions import variants
 from kilnstream.operators.alarms import with_minute
+from kilnstream.operators.assets import Masters, modelled
+from kilnstream.operators.cells import document_tags
 from kilnstream.operators.once import once
 from kilnstream.sources.shared import shared_folder
 
@@ -154,14 +156,18 @@ def pipe_lots(messages: DataFrame, command: str, chunk: int = CHUNK) -> DataFram
     return messages.sparkSession.createDataFrame(piped.map(lambda line: (line,)), "line string")
 
 
-def chart_series(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
+def chart_series(
+    messages: DataFrame, masters: Masters, widen_ints: bool = False
+) -> DataFrame:
     """Per lot, minute and alias: count, least, greatest and last DOUBLE value.
 
-    Counted before the shuffle, so a large lot costs its own tasks only.
+    Combined before the shuffle, so a large lot costs its own tasks only.
     """
+    timed = with_minute(modelled(messages, masters))
+    pairs = document_tags(timed, masters.tags)
     numbered = once(pairs, number=variants.double_value("value", "value_schema", widen_ints))
-    points = with_minute(numbered.where("number IS NOT NULL"))
-    return points.withColumnRenamed("minute_key", "minute").groupBy("lot_no", "minute", "alias").agg(
+    points = numbered.where("number IS NOT NULL").withColumnRenamed("minute_key", "minute")
+    return points.groupBy("lot_no", "minute", "alias").agg(
         F.count("*").alias("n"),
         F.min("number").alias("min_val"),
         F.max("number").alias("max_val"),

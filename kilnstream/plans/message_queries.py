@@ -175,7 +175,10 @@ def alarm_null_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alarm_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat("minute_key", "key_part")
-    timed = alarms.with_minute(_pairs(spark, sf_dir))
+    masters = inputs.masters(spark, sf_dir)
+    timed = cells.document_tags(
+        alarms.with_minute(inputs.modelled(spark, sf_dir)), masters.tags
+    )
     return timed.select(event_id(), "tag_id", key.alias("time_key"))
 
 
@@ -234,7 +237,7 @@ def lot_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lot_chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lots.chart_series(_pairs(spark, sf_dir))
+    return lots.chart_series(inputs.accepted(spark, sf_dir), inputs.masters(spark, sf_dir))
 
 
 QUERIES = {

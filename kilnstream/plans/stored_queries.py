@@ -32,7 +32,7 @@ def _stored_documents(spark: SparkSession, sf_dir: str, suffix: str = "") -> Bat
     tables = BatchTables(shared_folder(spark), suffix)
     accepted = inputs.accepted(spark, sf_dir)
     tables.write(batch.stored_documents(accepted), batch.DOCUMENTS, 0, ("asset_id",))
-    tables.commit(accepted, 0)
+    tables.commit(inputs.machine_messages(spark, sf_dir), 0)
     return tables
 
 

@@ -41,10 +41,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _machine_number(user_id: str) -> str:
-    return f"format_string('%03d', {user_id} % 20)"
+    return f"lpad(CAST({user_id} % 20 AS STRING), 3, '0')"
 
 
-PROP_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+PROP_K = """CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT)"""
 
 
 def _key(topic: str) -> list[str]:
@@ -54,8 +54,9 @@ def _key(topic: str) -> list[str]:
     ]
 
 
-def _double(number: str) -> str:
-    return f"CAST(CAST({number} AS DOUBLE) AS STRING)"
+def _double(whole: str) -> str:
+    """Text of a whole number as a double."""
+    return f"concat(CAST({whole} AS STRING), '.0')"
 
 
 def _text(value: str) -> str:
@@ -70,7 +71,9 @@ def _json(members: list[tuple[str, str]]) -> str:
 def machine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One machine message per event; the offset is the event id."""
     number = _machine_number("user_id")
-    lot_no = f"concat('LOT__', {number}, '_', format_string('%05d', user_id))"
+    user = "CASE WHEN user_id < 10000 THEN lpad(CAST(user_id AS STRING), 5, '0') " \
+           "ELSE CAST(user_id AS STRING) END"
+    lot_no = f"concat('LOT__', {number}, '_', {user})"
     value = _json([
         ("0", _double("year(ts) - 2000")),
         ("1", _double("month(ts)")),
@@ -79,7 +82,7 @@ def machine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("4", _double("minute(ts)")),
         ("5", _text(f"concat({lot_no}, '  ')")),
         ("6", _text("CASE WHEN event_type = 'error' THEN '' ELSE event_type END")),
-        ("7", _double("value")),
+        ("7", "CAST(value AS STRING)"),
         ("8", "CAST(event_id AS STRING)"),
         ("100", _double(PROP_K)),
     ])

@@ -1,3 +1,4 @@
+import pytest
 from conftest import SITE, document, tag
 
 from kilnstream.operators import assets, cells, messages
@@ -85,6 +86,18 @@ def test_wide_rows_in_both_forms(masters_of, texts):
     assert {tuple(r) for r in pivoted.collect()} == expected
 
 
+@pytest.mark.parametrize("n", [1, 2, 32, 33, 200])
+def test_any_number_of_columns(masters_of, texts, n):
+    masters = masters_of(ASSETS, [
+        tag("Machine001", f"T{i:03d}", f"k{i}", f"c{i}") for i in range(n)
+    ])
+    body = ", ".join(f'"k{i}": {i}.5' for i in range(0, n, 2))
+    row = cells.wide_rows(accepted(texts(document(body))), masters).first().asDict()
+    assert [row[f"c{i}"] for i in range(n)] == [
+        None if i % 2 else f"{i}.5" for i in range(n)
+    ]
+
+
 def test_typed_wide_rows(masters_of, texts):
     masters = masters_of(ASSETS, [
         tag("Machine001", "T1", "7", "num"), tag("Machine001", "T2", "8", "word", code="D02"),

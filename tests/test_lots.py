@@ -3,7 +3,7 @@ from collections import defaultdict
 import pandas as pd
 from conftest import SITE, document, message_rows, tag
 
-from kilnstream.operators import cells, lots, messages
+from kilnstream.operators import lots, messages
 
 
 def accepted(rows):
@@ -87,8 +87,7 @@ def test_pipe_keeps_arrival_order_of_a_lot(messages_of):
 def test_chart_series(masters_of, messages_of):
     masters = masters_of([(SITE, "Machine001", "Y")], [tag("Machine001", "T1", "7", "c7")])
     texts = [document(f'"7": {v}') for v in ("3.0", "1.0", "2", "2.5", '"x"')]
-    pairs = cells.document_tags(accepted(messages_of(message_rows(texts))), masters.tags)
-    row = lots.chart_series(pairs).first()
+    row = lots.chart_series(accepted(messages_of(message_rows(texts))), masters).first()
     assert row.asDict() == {
         "lot_no": "LOT__001_1", "minute": "202401020304", "alias": "c7", "n": 3,
         "min_val": 1.0, "max_val": 3.0, "last_val": 2.5,
