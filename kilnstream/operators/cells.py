@@ -13,7 +13,7 @@ from kilnstream import fixed, schemas
 from kilnstream.functions import text, variants
 from kilnstream.functions.text import quoted
 from kilnstream.operators.assets import Masters, alias_tags
-from kilnstream.operators.lookup import Lookup, join_lookup
+from kilnstream.operators.lookup import FIELD_OVERHEAD, Lookup, join_lookup
 from kilnstream.operators.once import once
 
 # Issues found in messages.
@@ -86,8 +86,9 @@ def double_columns(tags: DataFrame, columns: list[str]) -> set[str]:
     return {row["alias"] for row in rows}
 
 
-def _tags_by_column(tags: Lookup, columns: list[str]) -> Lookup:
+def _tags_by_column(masters: Masters, columns: list[str]) -> Lookup:
     """One row per asset: for every wide column its tag, or NULL."""
+    tags = masters.tags
     listed = ", ".join(quoted(alias) for alias in columns)
     by_asset = (
         tags.frame.where("alias IS NOT NULL")
@@ -98,7 +99,10 @@ def _tags_by_column(tags: Lookup, columns: list[str]) -> Lookup:
     )
     first_tag = "try_element_at(filter(tags, t -> t.alias = column), 1)"
     column_tags = f"transform(array({listed}), column -> {first_tag})"
-    return tags.narrowed(by_asset.selectExpr("asset_id", f"{column_tags} AS column_tags"))
+    slots = masters.confirmed.most_rows * len(columns)
+    return tags.widened(
+        by_asset.selectExpr("asset_id", f"{column_tags} AS column_tags"), slots * FIELD_OVERHEAD
+    )
 
 
 def _cells_in_steps(rows: DataFrame, n: int, widen_ints: bool) -> tuple[DataFrame, list[str]]:
@@ -143,7 +147,7 @@ def wide_rows(
     tags = masters.tags
     columns = wide_columns(tags.frame) if columns is None else columns
     doubles = double_columns(tags.frame, columns) if typed else set()
-    rows = join_lookup(messages, _tags_by_column(tags, columns), ["asset_id"])
+    rows = join_lookup(messages, _tags_by_column(masters, columns), ["asset_id"])
     make = _cells_in_steps if len(columns) <= MAX_STEPWISE_COLUMNS else _cells_in_array
     rows, cells = make(rows, len(columns), widen_ints)
     named = [

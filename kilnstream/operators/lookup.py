@@ -34,6 +34,15 @@ class Lookup:
         """A projection or filter of the same rows: the size stays an upper bound."""
         return Lookup(frame, self.n_bytes)
 
+    def widened(self, frame: DataFrame, extra_bytes: int) -> "Lookup":
+        """The same rows rearranged, with at most ``extra_bytes`` more."""
+        return Lookup(frame, self.n_bytes + extra_bytes)
+
+    @property
+    def most_rows(self) -> int:
+        """An upper bound of the number of rows: every row has at least one field."""
+        return self.n_bytes // FIELD_OVERHEAD
+
 
 def _row_bytes(frame: DataFrame) -> str:
     widths = [str(FIELD_OVERHEAD * len(frame.columns))]

@@ -38,18 +38,22 @@ def lot_payloads(messages: DataFrame) -> DataFrame:
     return messages.select("lot_no", *schemas.MESSAGE_KEY, "timestamp", "payload")
 
 
-def _later_pieces(ranged: DataFrame, chunk: int) -> DataFrame:
+def _range_counts(ranged: DataFrame, folder: str) -> DataFrame:
+    """Messages per offset range of every lot, written down: parsing them again costs more."""
+    counts = ranged.groupBy(*SOURCE, "offset_range").agg(F.count("*").alias("n"))
+    counts.write.parquet(folder)
+    return ranged.sparkSession.read.schema(counts.schema).parquet(folder)
+
+
+def _later_pieces(counts: DataFrame, chunk: int) -> DataFrame:
     """Piece of every offset range that lies beyond the first ``chunk`` messages of its lot.
 
     Offsets are unique in a source partition, so a range of ``chunk`` offsets has
-    at most ``chunk`` messages.  Ranges are counted before they are shuffled, and
-    only counts are summed along a lot: first over blocks of ``RANGE_BLOCK``
-    ranges, then inside each block, so that no long lot is summed in one task.
+    at most ``chunk`` messages.  Only counts are summed along a lot: first over
+    blocks of ``RANGE_BLOCK`` ranges, then inside each block, so that no long lot
+    is summed in one task.
     """
-    counts = (
-        ranged.groupBy(*SOURCE, "offset_range").agg(F.count("*").alias("n"))
-        .withColumn("block", F.expr(f"offset_range div {RANGE_BLOCK}"))
-    )
+    counts = counts.withColumn("block", F.expr(f"offset_range div {RANGE_BLOCK}"))
     blocks = counts.groupBy(*SOURCE, "block").agg(F.sum("n").alias("n"))
 
     def n_before(keys: list[str], order: str) -> Column:
@@ -85,8 +89,9 @@ def _pieces(messages: DataFrame, chunk: int) -> DataFrame:
         "offset_range", F.expr(f"`offset` div {chunk}")
     )
     folder = shared_folder(spark)
-    _later_pieces(ranged, chunk).write.parquet(folder)
-    later = spark.read.schema(f"{PIECE_SCHEMA}, offset_range bigint").parquet(folder)
+    counts = _range_counts(ranged, f"{folder}/counts")
+    _later_pieces(counts, chunk).write.parquet(f"{folder}/later")
+    later = spark.read.schema(f"{PIECE_SCHEMA}, offset_range bigint").parquet(f"{folder}/later")
     return (
         ranged.join(later, [*SOURCE, "offset_range"], "left")
         .withColumn("piece", F.coalesce("piece", F.lit(0).cast("bigint")))
