@@ -1,9 +1,13 @@
 """Registered queries of the package and the SQL of those that SQL can express."""
 
-from kilnstream.llm import byte_bpe, url_filters
+from kilnstream.llm import byte_bpe, decontamination, url_filters
 
 QUERIES = {
+    "op2_decontamination": decontamination.op2_decontamination,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op10_url_filters": url_filters.op10_url_filters,
 }
-ORACLES = {"op10_url_filters": url_filters.ORACLE}
+ORACLES = {
+    "op2_decontamination": decontamination.ORACLE,
+    "op10_url_filters": url_filters.ORACLE,
+}
