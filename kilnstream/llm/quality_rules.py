@@ -30,7 +30,7 @@ MOST_REPEATED_PERCENT = 30
 LEAST_CHARS = 200
 LEAST_JUDGED_WORDS = 80
 #: Greatest distance from the references of the language.
-MOST_CHAR_DISTANCE = 0.45
+MOST_CHAR_DISTANCE = 0.25
 MOST_WORD_DISTANCE = 0.45
 
 #: Common words of each language.
