@@ -1,11 +1,20 @@
 """Registered queries of the package and the SQL of those that SQL can express."""
 
-from kilnstream.llm import byte_bpe, decontamination, quality_rules, url_filters
+from kilnstream.llm import (
+    byte_bpe,
+    decontamination,
+    language_id,
+    near_duplicates,
+    quality_rules,
+    url_filters,
+)
 
 QUERIES = {
     "op2_decontamination": decontamination.op2_decontamination,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op6_language_id": language_id.op6_language_id,
+    "op7_minhash": near_duplicates.op7_minhash,
     "op10_url_filters": url_filters.op10_url_filters,
 }
 ORACLES = {
