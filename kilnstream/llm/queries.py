@@ -4,6 +4,7 @@ from kilnstream.llm import (
     byte_bpe,
     decontamination,
     language_id,
+    line_dedup,
     near_duplicates,
     quality_rules,
     url_filters,
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op6_language_id": language_id.op6_language_id,
     "op7_minhash": near_duplicates.op7_minhash,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_url_filters": url_filters.op10_url_filters,
 }
 ORACLES = {
