@@ -7,15 +7,19 @@ from kilnstream.llm import (
     line_dedup,
     near_duplicates,
     quality_rules,
+    repeated_bytes,
+    toxicity,
     url_filters,
 )
 
 QUERIES = {
     "op2_decontamination": decontamination.op2_decontamination,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op6_language_id": language_id.op6_language_id,
     "op7_minhash": near_duplicates.op7_minhash,
+    "op8_repeated_bytes": repeated_bytes.op8_repeated_bytes,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_url_filters": url_filters.op10_url_filters,
 }
