@@ -7,12 +7,14 @@ from kilnstream.llm import (
     line_dedup,
     near_duplicates,
     quality_rules,
+    quotations,
     repeated_bytes,
     toxicity,
     url_filters,
 )
 
 QUERIES = {
+    "op1_quotation_linking": quotations.op1_quotation_linking,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality_rules": quality_rules.op4_quality_rules,
@@ -24,6 +26,7 @@ QUERIES = {
     "op10_url_filters": url_filters.op10_url_filters,
 }
 ORACLES = {
+    "op1_quotation_linking": quotations.ORACLE,
     "op2_decontamination": decontamination.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op10_url_filters": url_filters.ORACLE,
