@@ -1,0 +1,180 @@
+"""Byte-level BPE, decontamination, quality rules and urls."""
+
+import base64
+import hashlib
+import random
+import re
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from kilnstream.llm import byte_bpe, decontamination, quality_rules, url_filters
+
+ODD = [None, "", " ", "\n", "a" * 30_000, "x" * 5 + " " * 9 + "\n\n y", "it's 'll’s é\x85 \x1c\U0001F600",
+       "tab\t tab \n\n next\n", "ab" * 2000 + "漢字" * 500]
+
+
+def chained(rows, seed):
+    random.seed(seed)
+    return rows + [(100 + n, "".join(random.choice(" \n\tab1'sé.,\u00a0\x85")
+                                     for _ in range(random.randint(0, 40)))) for n in range(200)]
+
+
+def test_bpe_equals_public_library(documents, found):
+    path = public_tokenizers.path(byte_bpe.RANKS)
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    public = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                               special_tokens={})
+    rows = chained(list(enumerate(ODD)) + [(1, ""), (None, "null id")], 4)
+    expected = []
+    for doc_id, text in rows:
+        ids = public.encode_ordinary(text or "")
+        expected.append((doc_id, len(ids),
+                         hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                         hashlib.sha256((text or "").encode()).hexdigest()))
+    assert found(byte_bpe.round_trip(documents(rows))) == sorted(expected, key=repr)
+
+
+def test_bpe_decodes_its_ids(documents, found):
+    rows = [(n, text) for n, text in enumerate(ODD)]
+    decoded = byte_bpe.decode_ids(byte_bpe.encode_texts(documents(rows)))
+    assert [(i, bytes(content)) for i, content in found(decoded)] == [
+        (i, (text or "").encode()) for i, text in rows]
+    assert byte_bpe.round_trip(documents([(1, "")]).where("false")).count() == 0
+
+
+def words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def brute_contamination(rows, items, width):
+    out = []
+    for doc_id, text in rows:
+        own, hit, names = words(text), set(), set()
+        for item, passage in items:
+            asked = words(passage)
+            size = min(width, len(asked))
+            windows = {tuple(asked[i:i + size]) for i in range(len(asked) - size + 1)} if size else ()
+            for i in range(len(own) - size + 1) if size else ():
+                if tuple(own[i:i + size]) in windows:
+                    hit.update(range(i, i + size))
+                    names.add(item)
+        names = sorted(str(name) for name in names if name is not None)
+        out.append((doc_id, len(own), len(hit), len(names),
+                    hashlib.sha256(",".join(names).encode()).hexdigest(),
+                    bool(hit) and 20 * len(hit) >= len(own)))
+    return sorted(out, key=repr)
+
+
+@pytest.fixture
+def contaminated(spark, documents):
+    random.seed(9)
+    items = [(n, " ".join(random.choice("abcdef") for _ in range(n))) for n in range(9)]
+    items += [(3, "Zoë zebra; ZULU"), (20, None), (None, "q r s t"), (21, "...")]
+    rows = [(n, " ".join(random.choice("abcdef") for _ in range(random.randint(0, 60))))
+            for n in range(60)]
+    rows += [(60, None), (61, ""), (62, "x. zoë, Zebra zulu! y"), (62, "x. zoë, Zebra zulu! y"),
+             (None, "q r s t " * 400)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    return rows, items, documents(rows), benchmark
+
+
+@pytest.mark.parametrize("block", [10_000, 4])
+def test_contamination_equals_brute_force(contaminated, found, block):
+    rows, items, docs, benchmark = contaminated
+    result = decontamination.contamination(docs, benchmark, width=4, block=block)
+    assert found(result) == brute_contamination(rows, items, 4)
+
+
+def test_decontaminate_keeps_columns_and_clean_rows(contaminated, found):
+    rows, items, docs, benchmark = contaminated
+    kept = decontamination.decontaminate(docs, benchmark, width=4)
+    assert kept.columns == docs.columns
+    clean = [row for row, verdict in zip(
+        sorted(rows, key=repr), sorted(rows, key=repr), strict=True)
+        if not brute_contamination([row], items, 4)[0][-1]]
+    assert found(kept.select("doc_id", "text")) == sorted(clean, key=repr)
+    cut = {row["doc_id"]: row["text"]
+           for row in decontamination.decontaminate(docs, benchmark, "spans", 4).collect()}
+    assert cut[62] == "x. ! y" and cut[60] is None and cut[61] == ""
+    assert found(decontamination.decontaminate(docs, benchmark.where("false"))) == found(docs)
+    assert decontamination.decontaminate(docs.where("false"), benchmark).count() == 0
+
+
+def brute_base(text):
+    own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [line for line in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = [tuple(own[i:i + 8]) for i in range(len(own) - 7)]
+    repeated = {n for i, w in enumerate(windows) if windows.count(w) > 1 for n in range(i, i + 8)}
+    return (len(own), sum(map(len, own)), len(re.findall(r"[#*$%&|<>]", text or "")),
+            len(lines) - len(set(lines)), len(repeated),
+            len(own) < 20 or 100 * len(repeated) > 30 * len(own))
+
+
+def test_quality_base_counts(documents, found):
+    random.seed(3)
+    rows = [(n, " ".join(random.choice(["a", "bc", "é#", "|"]) + random.choice(["", "", "\n"])
+                         for _ in range(n * 3)), random.choice(["en", "xx", None]))
+            for n in range(30)]
+    rows += [(50, None, "en"), (51, "", None), (52, "same\nsame\n\n \nsame", "en"),
+             (53, "one two three four five six seven eight " * 300, "en"), (53, "w", "en")]
+    result = quality_rules.judge(documents(rows))
+    assert found(result.drop("kept")) == sorted(
+        ((i, *brute_base(text)) for i, text, _ in rows), key=repr)
+    assert result.where("base_failed AND kept").count() == 0
+    assert quality_rules.judge(documents(rows).where("false")).count() == 0
+
+
+def test_quality_rejects_strange_characters(documents):
+    random.seed(5)
+    vocabulary = ["river", "stone", "lamp", "garden", "winter", "of", "the", "and", "in"]
+    prose = [" ".join(random.choice(vocabulary) for _ in range(120)) for _ in range(40)]
+    rows = [(n, text, "en") for n, text in enumerate(prose)]
+    rows += [(90, re.sub(" ", "*** ", prose[0]), "en"), (91, "#### " * 4, "en")]
+    kept = {row["doc_id"]: row["kept"] for row in quality_rules.judge(documents(rows)).collect()}
+    assert not kept[90] and not kept[91] and all(kept[n] for n in range(40))
+
+
+def brute_glob(glob, text):
+    pattern = "".join(
+        {"**": "(?s:.*)", "*": "[^/]*", "?": "[^/]"}.get(part, re.escape(part))
+        for part in re.findall(r"(?s)\*\*|.", glob))
+    return re.fullmatch(pattern, text) is not None
+
+
+def test_globs_equal_regular_expressions():
+    random.seed(6)
+    globs = ["".join(random.choice(["a", "b", "/", "*", "**", "?"]) for _ in range(n % 9))
+             for n in range(120)] + ["a" * 70 + "*b", "**" + "ab" * 60]
+    texts = ["".join(random.choice("ab/") for _ in range(random.randint(0, 9))) for _ in range(150)]
+    texts += ["a" * 70 + "b", "x" + "ab" * 60, ""]
+    found = url_filters.matches(url_filters.compile_globs(globs), [t.encode() for t in texts])
+    assert found.tolist() == [[brute_glob(glob, text) for glob in globs] for text in texts]
+
+
+def test_urls(spark, found):
+    urls = {
+        "http://Example.NET/en/1?x=/de/": ("example.net", "/en/1", "example.net/en/", "allow"),
+        "https://a.example.net/enx": ("a.example.net", "/enx", "net/", "block"),
+        "https://notexample.com/de/": ("notexample.com", "/de/", None, "allow"),
+        "x://m.example.com/de/#top": ("m.example.com", "/de/", "example.com/de/", "block"),
+        "http://org/fr/": ("org", "/fr/", "org/fr/", "allow"),
+        "http://net": ("net", "", None, "allow"),
+        "http://net?a=/": ("net", "", None, "allow"),
+        "http://a.b/c.net/": ("a.b", "/c.net/", None, "allow"),
+        "http://ads.org/x": ("ads.org", "/x", None, "block"),
+        "http://é.net/ü://x": ("é.net", "/ü://x", "net/", "block"),
+        "no scheme": ("", "", None, "allow"),
+        "http://long.org/" + "x" * 50_000 + ".exe":
+            ("long.org", "/" + "x" * 50_000 + ".exe", None, "block"),
+    }
+    rows = [(n, url, "rule") for n, url in enumerate(urls)] + [(99, None, None), (99, None, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, rule string")
+    expected = [(n, *result) for n, result in enumerate(urls.values())]
+    expected += [(99, "", "", None, "allow")] * 2
+    assert found(url_filters.filter_urls(pages)) == sorted(expected, key=repr)
+    assert url_filters.filter_urls(pages.where("false")).count() == 0
+    assert {row["verdict"] for row in url_filters.filter_urls(pages, [], []).collect()} == {"allow"}
