@@ -1,32 +1,43 @@
 """Work per lot: counts, payload hand-over to outside code, chart series.
 
 One lot may hold a large share of all messages, so none of these brings a whole
-lot into one task.  Outside code gets a lot in pieces of consecutive messages
-of one source partition.  A lot of at most ``chunk`` messages is one piece; a
-larger one is cut so that no piece has more than ``2 * chunk`` messages.
+lot into one task.  Every lot, whatever its size, is cut by one rule: what one
+source partition holds of it in one range of ``RANGE`` offsets goes to one task,
+and there every ``chunk`` messages are a piece.  Offsets are unique in a source
+partition, so a task reads a bounded part of a lot.  What outside code makes of the
+pieces is put together again per lot.
 """
 
 import subprocess
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnstream import schemas
 from kilnstream.functions import variants
+from kilnstream.functions.text import quoted
 from kilnstream.operators.alarms import with_minute
-from kilnstream.operators.assets import Masters, modelled
+from kilnstream.operators.assets import Masters, alias_tags
 from kilnstream.operators.cells import document_tags
 from kilnstream.operators.once import once
 from kilnstream.sources.shared import shared_folder
 
 CHUNK = 100_000
-RANGE_BLOCK = 4096
+RANGE = 1_000_000
+# Ranges whose results are put together before those of the whole lot are.
+RANGE_BLOCK = 64
 
-SOURCE = ["lot_no", "topic", "partition"]
-PIECE = [*SOURCE, "piece"]
-PIECE_SCHEMA = "lot_no string, topic string, partition int, piece bigint"
+PART = ["lot_no", "topic", "partition", "offset_range"]
+PIECE = [*PART, "piece"]
+PIECE_SCHEMA = "lot_no string, topic string, partition int, offset_range bigint, piece bigint"
+ROW = "_row"
+
+# Field end of piped lines; no JSON text has it.
+FIELD_END = "\\u0001"
+
+PieceFunction = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def count_by(messages: DataFrame, key: str) -> DataFrame:
@@ -38,127 +49,144 @@ def lot_payloads(messages: DataFrame) -> DataFrame:
     return messages.select("lot_no", *schemas.MESSAGE_KEY, "timestamp", "payload")
 
 
-def _range_counts(ranged: DataFrame, folder: str) -> DataFrame:
-    """Messages per offset range of every lot, written down: parsing them again costs more."""
-    counts = ranged.groupBy(*SOURCE, "offset_range").agg(F.count("*").alias("n"))
-    counts.write.parquet(folder)
-    return ranged.sparkSession.read.schema(counts.schema).parquet(folder)
-
-
-def _later_pieces(counts: DataFrame, chunk: int) -> DataFrame:
-    """Piece of every offset range that lies beyond the first ``chunk`` messages of its lot.
-
-    Offsets are unique in a source partition, so a range of ``chunk`` offsets has
-    at most ``chunk`` messages.  Only counts are summed along a lot: first over
-    blocks of ``RANGE_BLOCK`` ranges, then inside each block, so that no long lot
-    is summed in one task.
-    """
-    counts = counts.withColumn("block", F.expr(f"offset_range div {RANGE_BLOCK}"))
-    blocks = counts.groupBy(*SOURCE, "block").agg(F.sum("n").alias("n"))
-
-    def n_before(keys: list[str], order: str) -> Column:
-        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        return F.coalesce(F.sum("n").over(earlier), F.lit(0))
-
-    block_starts = blocks.select(*SOURCE, "block", n_before(SOURCE, "block").alias("block_start"))
-    in_block = counts.select(
-        *SOURCE, "block", "offset_range",
-        n_before([*SOURCE, "block"], "offset_range").alias("range_start"),
-    )
+def _parts(messages: DataFrame) -> DataFrame:
+    """Payloads by lot and offset range, each part in one task and in arrival order."""
     return (
-        in_block.join(block_starts, [*SOURCE, "block"])
-        .select(*SOURCE, "offset_range",
-                F.expr(f"(block_start + range_start) div {chunk}").alias("piece"))
-        .where("piece > 0")
+        lot_payloads(messages).withColumn("offset_range", F.expr(f"`offset` div {RANGE}"))
+        .repartition(*PART).sortWithinPartitions(*PART, "offset")
     )
 
 
-def _pieces(messages: DataFrame, chunk: int) -> DataFrame:
-    """Payloads with their ``piece``, each piece in one task and in arrival order.
+def _key(rows: pd.DataFrame) -> tuple:
+    """Part of the rows; missing positions are equal to each other."""
+    return tuple(None if pd.isna(value) else value for value in rows[PART].iloc[0])
 
-    Most lots are one piece.  The list of further pieces is written down first:
-    its size then decides how it is joined, and the messages are not counted
-    again when a task is.
-    """
+
+def _by_piece(messages: DataFrame, function: PieceFunction, schema: str, chunk: int) -> DataFrame:
     if chunk < 1:
         raise ValueError("chunk must be positive")
-    spark = messages.sparkSession
-    ranged = lot_payloads(messages).withColumn(
-        "offset_range", F.expr(f"`offset` div {chunk}")
-    )
-    folder = shared_folder(spark)
-    counts = _range_counts(ranged, f"{folder}/counts")
-    _later_pieces(counts, chunk).write.parquet(f"{folder}/later")
-    later = spark.read.schema(f"{PIECE_SCHEMA}, offset_range bigint").parquet(f"{folder}/later")
-    return (
-        ranged.join(later, [*SOURCE, "offset_range"], "left")
-        .withColumn("piece", F.coalesce("piece", F.lit(0).cast("bigint")))
-        .drop("offset_range")
-        .repartition(*PIECE)
-        .sortWithinPartitions(*PIECE, "offset")
-    )
+
+    def made(rows: pd.DataFrame, piece: int) -> pd.DataFrame:
+        head = {name: rows[name].iloc[0] for name in PART}
+        out = function(rows.assign(piece=piece))
+        return out.assign(**head, piece=piece, **{ROW: range(len(out))})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, key, piece = None, None, 0
+        for batch in batches:
+            for _, rows in batch.groupby(PART, sort=False, dropna=False):
+                if held is not None and _key(rows) == key:
+                    rows = pd.concat([held, rows])
+                else:
+                    if held is not None:
+                        yield made(held.reset_index(drop=True), piece)
+                    key, piece = _key(rows), 0
+                while len(rows) > chunk:
+                    yield made(rows.iloc[:chunk].reset_index(drop=True), piece)
+                    rows, piece = rows.iloc[chunk:], piece + 1
+                held = rows
+        if held is not None:
+            yield made(held.reset_index(drop=True), piece)
+
+    return _parts(messages).mapInPandas(run, f"{PIECE_SCHEMA}, {ROW} bigint, {schema}")
 
 
 def apply_to_lots(
     messages: DataFrame,
-    function: Callable[[pd.DataFrame], pd.DataFrame],
+    function: PieceFunction,
+    combine: PieceFunction,
     schema: str,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """Run ``function`` on every piece of every lot, messages in arrival order.
-
-    It gets the columns ``lot_no, topic, partition, piece, offset, timestamp,
-    payload`` and returns rows of ``schema``.
+    """Rows of ``lot_no`` and ``schema``: what ``combine`` makes of a lot's pieces.
+
+    ``function`` gets a piece (``lot_no, topic, partition, offset, timestamp, payload``
+    and more), messages in arrival order, and returns rows of ``schema``.  ``combine``
+    gets such rows of neighbouring pieces, or its own results for them, in order, and
+    returns rows of ``schema`` again; few, because those of a block of ranges and then
+    those of a lot meet in one task.  A lot in several source
+    partitions is ordered by topic and partition, missing ones first.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_piece: list[pd.DataFrame] = []
-        for batch in batches:
-            for _, part in batch.groupby(PIECE, sort=False):
-                if open_piece and not part[PIECE].iloc[0].equals(open_piece[0][PIECE].iloc[0]):
-                    yield function(pd.concat(open_piece, ignore_index=True))
-                    open_piece = []
-                open_piece.append(part)
-        if open_piece:
-            yield function(pd.concat(open_piece, ignore_index=True))
-
-    return _pieces(messages, chunk).mapInPandas(run, schema)
-
-
-def run_on_lots(messages: DataFrame, command: list[str], chunk: int = CHUNK) -> DataFrame:
+    kept = f"{PIECE_SCHEMA}, {ROW} bigint, {schema}"
+
+    def together(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values([*PIECE[1:], ROW], na_position="first", kind="stable")
+        made = combine(rows.drop(columns=[*PIECE, ROW]).reset_index(drop=True))
+        head = {name: rows[name].iloc[0] for name in PIECE}
+        return made.assign(**head, **{ROW: range(len(made))})
+
+    pieces = _by_piece(messages, function, schema, chunk)
+    block = F.expr(f"offset_range div {RANGE_BLOCK}")
+    blocks = pieces.groupBy("lot_no", "topic", "partition", block).applyInPandas(together, kept)
+    return blocks.groupBy("lot_no").applyInPandas(together, kept).drop(*PIECE[1:], ROW)
+
+
+def _output(command: list[str], text: str, seconds: float | None) -> tuple[list[str], str | None]:
+    """Lines of a command and what went wrong, if anything did."""
+    try:
+        done = subprocess.run(command, input=text.encode(), capture_output=True, timeout=seconds)
+    except subprocess.TimeoutExpired:
+        return [], f"stopped after {seconds} s"
+    except OSError as error:
+        return [], f"not started: {error}"
+    lines = done.stdout.decode(errors="replace").split("\n")
+    if lines[-1] == "":
+        lines.pop()
+    failed = f"exit {done.returncode}: {done.stderr.decode(errors='replace')}"
+    return lines, failed if done.returncode else None
+
+
+def run_on_lots(
+    messages: DataFrame, command: list[str], chunk: int = CHUNK, seconds: float | None = None
+) -> DataFrame:
     """Start ``command`` for every piece of every lot, payloads on its input.
 
-    Its output lines become rows; a failing command becomes a row with
-    ``error`` set and does not stop the others.
+    Its output lines become rows, numbered along the lot.  A command that fails,
+    cannot be started or takes longer than ``seconds`` becomes a row with ``error``
+    set and does not stop the others.  The lines are written down, so that no
+    command runs again to number them.
     """
     def run(piece: pd.DataFrame) -> pd.DataFrame:
-        text = "".join(line + "\n" for line in piece["payload"])
-        done = subprocess.run(command, input=text, capture_output=True, encoding="utf-8")
-        lines = done.stdout.splitlines()
-        out = pd.DataFrame({"line_no": range(len(lines)), "line": lines, "error": None})
-        if done.returncode:
-            out.loc[len(out)] = [len(lines), None, f"exit {done.returncode}: {done.stderr}"]
-        head = {name: piece[name].iloc[0] for name in PIECE}
-        return out.assign(**head)
+        lines, failed = _output(command, "".join(x + "\n" for x in piece["payload"]), seconds)
+        out = pd.DataFrame({"line": pd.Series(lines, dtype=object), "error": None})
+        if failed:
+            out.loc[len(out)] = [None, failed]
+        return out
 
     one_line = messages.withColumn("payload", F.translate("payload", "\r\n", "  "))
-    return apply_to_lots(
-        one_line, run, f"{PIECE_SCHEMA}, line_no bigint, line string, error string", chunk
+    found = _by_piece(one_line, run, "line string, error string", chunk)
+    folder = shared_folder(messages.sparkSession)
+    found.write.parquet(folder)
+    lines = messages.sparkSession.read.schema(found.schema).parquet(folder)
+
+    earlier = Window.partitionBy("lot_no").orderBy(*PIECE[1:]).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = (
+        lines.groupBy(*PIECE).agg(F.count("line").alias("n"))
+        .select(*[F.col(name).alias(f"_{name}") for name in PIECE],
+                F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    )
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in PIECE]
+    return lines.join(starts, same).withColumn("line_no", F.col("start") + F.col(ROW)).select(
+        *PIECE, "line_no", "line", "error"
     )
 
 
-def pipe_lots(messages: DataFrame, command: str, chunk: int = CHUNK) -> DataFrame:
+def pipe_lots(messages: DataFrame, command: str) -> DataFrame:
     """Pipe ``lot<TAB>payload`` lines through ``command``, one process per task.
 
-    A task gets whole pieces, each in arrival order.  A failing command fails
-    its task.
+    A task gets whole offset ranges of lots, each in arrival order; lines go from the JVM to the
+    command and back.  A failing command fails its task.
     """
-    lines = _pieces(messages, chunk).select(
+    lines = _parts(messages).select(
         F.concat_ws("\t", "lot_no", F.translate("payload", "\r\n", "  ")).alias("line")
     )
-    piped = lines.rdd.map(lambda row: row["line"]).pipe(command, checkCode=True)
-    return messages.sparkSession.createDataFrame(piped.map(lambda line: (line,)), "line string")
+    form = f"ROW FORMAT DELIMITED FIELDS TERMINATED BY '{FIELD_END}'"
+    return messages.sparkSession.sql(
+        f"SELECT TRANSFORM(line) {form} USING {quoted(command)} AS (line STRING) {form} "
+        "FROM {lines}", lines=lines,
+    )
 
 
 def chart_series(
@@ -166,10 +194,11 @@ def chart_series(
 ) -> DataFrame:
     """Per lot, minute and alias: count, least, greatest and last DOUBLE value.
 
-    Combined before the shuffle, so a large lot costs its own tasks only.
+    An alias shows the tag that owns its wide column.  Combined before the shuffle,
+    so a large lot costs its own tasks only.
     """
-    timed = with_minute(modelled(messages, masters))
-    pairs = document_tags(timed, masters.tags)
+    owners = masters.tags.narrowed(alias_tags(masters.tags.frame))
+    pairs = document_tags(with_minute(messages), owners)
     numbered = once(pairs, number=variants.double_value("value", "value_schema", widen_ints))
     points = numbered.where("number IS NOT NULL").withColumnRenamed("minute_key", "minute")
     return points.groupBy("lot_no", "minute", "alias").agg(

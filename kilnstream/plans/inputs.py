@@ -47,6 +47,16 @@ def masters_with_info_max(spark: SparkSession, sf_dir: str, info_max: str) -> Ma
     )
 
 
+def masters_with_shared_alias(spark: SparkSession, sf_dir: str) -> Masters:
+    """Masters in which two tags of every machine have the alias ``c7``."""
+    tags = derived.tag_master(spark, sf_dir).withColumn(
+        "alias", F.when(F.col("alias") == "c100", F.lit("c7")).otherwise(F.col("alias"))
+    )
+    return assets.load_masters(
+        derived.asset_master(spark, sf_dir), tags, derived.type_codes(spark), SITE, keep=True
+    )
+
+
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.parse_machine_messages(machine_messages(spark, sf_dir))
 

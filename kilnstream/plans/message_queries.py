@@ -213,23 +213,47 @@ def lot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def numbered(piece: pd.DataFrame) -> pd.DataFrame:
+    """One result per lot, put together from its pieces: how often the word in "6" changes."""
+    def of_piece(piece: pd.DataFrame) -> pd.DataFrame:
+        words = piece["payload"].str.extract('"6": "([^"]*)"')[0]
         return pd.DataFrame({
-            "lot_no": piece["lot_no"],
-            "piece": piece["piece"],
-            "seq": range(1, len(piece) + 1),
-            "event_id": piece["offset"],
+            "n": [len(words)], "n_changes": [int((words != words.shift()).sum()) - 1],
+            "first_word": [words.iloc[0]], "last_word": [words.iloc[-1]],
+        })
+
+    def of_lot(parts: pd.DataFrame) -> pd.DataFrame:
+        between = parts["first_word"].iloc[1:].values != parts["last_word"].iloc[:-1].values
+        return pd.DataFrame({
+            "n": [parts["n"].sum()], "n_changes": [parts["n_changes"].sum() + between.sum()],
+            "first_word": [parts["first_word"].iloc[0]], "last_word": [parts["last_word"].iloc[-1]],
         })
 
     return lots.apply_to_lots(
-        inputs.accepted(spark, sf_dir), numbered,
-        "lot_no string, piece bigint, seq bigint, event_id bigint", QUERY_CHUNK,
+        inputs.accepted(spark, sf_dir), of_piece, of_lot,
+        "n bigint, n_changes bigint, first_word string, last_word string", QUERY_CHUNK,
+    )
+
+
+def lot_null_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per lot where some have no topic or no partition."""
+    rows = inputs.accepted(spark, sf_dir).withColumns({
+        "topic": F.when(F.col("offset") % 5 != 0, F.col("topic")),
+        "partition": F.when(F.col("offset") % 7 != 0, F.col("partition")),
+    })
+    return lots.apply_to_lots(
+        rows, lambda piece: pd.DataFrame({"n": [len(piece)]}),
+        lambda parts: pd.DataFrame({"n": [parts["n"].sum()]}), "n bigint", QUERY_CHUNK,
     )
 
 
 def lot_command(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lots.run_on_lots(inputs.accepted(spark, sf_dir), ["cat"])
-    return rows.select("lot_no", "line_no", "line", "error")
+    """Lines of a command per lot, every lot lying in two source partitions."""
+    rows = inputs.accepted(spark, sf_dir).withColumn(
+        "partition", (F.col("offset") % 2).cast("int")
+    )
+    return lots.run_on_lots(rows, ["cat"], QUERY_CHUNK).select(
+        "lot_no", "line_no", "line", "error"
+    )
 
 
 def lot_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +264,12 @@ def lot_chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lots.chart_series(inputs.accepted(spark, sf_dir), inputs.masters(spark, sf_dir))
 
 
+def lot_chart_series_shared_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart series where the tags of "7" and "100" share an alias, which the first owns."""
+    masters = inputs.masters_with_shared_alias(spark, sf_dir)
+    return lots.chart_series(inputs.accepted(spark, sf_dir), masters)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -249,6 +279,7 @@ QUERIES = {
         document_tags, typed_cells, typed_cells_widened, wide_rows, wide_rows_typed,
         wide_rows_pivot, wide_rows_one_asset, alarm_levels, alarm_null_limits, alarm_time_key,
         alarm_history, latest_status, status_update, group_by_asset, group_by_lot, lot_payloads,
-        lot_apply, lot_command, lot_pipe, lot_chart_series,
+        lot_apply, lot_null_position, lot_command, lot_pipe, lot_chart_series,
+        lot_chart_series_shared_alias,
     )
 }

@@ -8,7 +8,6 @@ from kilnstream import schemas
 from kilnstream.plans.stored_queries import (
     APPENDED_TAG, BATCHES, DAY_COLUMNS, INFO_MAX_BY_BATCH, INSERTED_DAY, INSERTED_TAG, values_list,
 )
-from kilnstream.plans.message_queries import QUERY_CHUNK
 from kilnstream.sources.derived import TAG_TEMPLATE, TYPE_CODES
 
 _NAMES = ("tag_id, mapping_key, alias, data_type_cd, info_min, info_max, worm_min, worm_max, "
@@ -113,17 +112,19 @@ LIMITS = "".join(
     for level in ("info", "worm", "emer") for side in ("min", "max")
 )
 
-# Pieces of a lot: offset ranges, cut by the number of messages before them.
-LOT_PIECES = f"""
-, ranges AS (
-  SELECT lot_no, event_id // {QUERY_CHUNK} AS r, count(*) AS n FROM msg GROUP BY 1, 2),
-pieces AS (
-  SELECT lot_no, r, CAST(coalesce(sum(n) OVER (PARTITION BY lot_no ORDER BY r
-         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {QUERY_CHUNK} AS BIGINT) AS piece
-  FROM ranges)
-SELECT m.lot_no, p.piece, row_number() OVER (PARTITION BY m.lot_no, p.piece ORDER BY event_id)
-       AS seq, event_id
-FROM msg m JOIN pieces p ON p.lot_no = m.lot_no AND p.r = m.event_id // {QUERY_CHUNK}"""
+LOT_RUNS = """
+, lagged AS (
+  SELECT *, lag(word) OVER (PARTITION BY lot_no ORDER BY user_id % 3, event_id) AS before FROM msg)
+SELECT lot_no, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) FILTER (before IS NOT NULL AND before <> word) AS BIGINT) AS n_changes,
+       arg_min(word, (user_id % 3, event_id)) AS first_word,
+       arg_max(word, (user_id % 3, event_id)) AS last_word
+FROM lagged GROUP BY 1"""
+
+CHART = """
+SELECT lot_no, minute_key AS minute, alias, CAST(count(*) AS BIGINT) AS n, min(num) AS min_val,
+       max(num) AS max_val, arg_max(num, (ts, user_id % 3, event_id)) AS last_val
+FROM cell WHERE num IS NOT NULL {of} GROUP BY 1, 2, 3"""
 
 TAG_INFO = """
 SELECT 'VTAG_' || CAST(p_partkey AS VARCHAR) AS TAG_ID, p_name AS TAG_NM,
@@ -201,16 +202,15 @@ def _over_messages() -> dict[str, str]:
         "group_by_asset": "SELECT asset_id, CAST(count(*) AS BIGINT) AS n FROM msg GROUP BY 1",
         "group_by_lot": "SELECT lot_no, CAST(count(*) AS BIGINT) AS n FROM msg GROUP BY 1",
         "lot_payloads": f"SELECT lot_no, event_id, {REPAIRED} AS payload FROM msg",
-        "lot_apply": LOT_PIECES,
-        "lot_command": "SELECT lot_no, row_number() OVER (PARTITION BY lot_no ORDER BY event_id) "
+        "lot_apply": LOT_RUNS,
+        "lot_null_position": "SELECT lot_no, CAST(count(*) AS BIGINT) AS n FROM msg GROUP BY 1",
+        "lot_command": "SELECT lot_no, row_number() OVER (PARTITION BY lot_no "
+                       "ORDER BY event_id % 2, event_id) "
                        f"- 1 AS line_no, {REPAIRED} AS line, CAST(NULL AS VARCHAR) AS error "
                        "FROM msg",
         "lot_pipe": f"SELECT lot_no || chr(9) || {REPAIRED} AS line FROM msg",
-        "lot_chart_series": "SELECT lot_no, minute_key AS minute, alias, "
-                            "CAST(count(*) AS BIGINT) AS n, min(num) AS min_val, "
-                            "max(num) AS max_val, "
-                            "arg_max(num, (ts, user_id % 3, event_id)) AS last_val "
-                            "FROM cell WHERE num IS NOT NULL GROUP BY 1, 2, 3",
+        "lot_chart_series": CHART.format(of=""),
+        "lot_chart_series_shared_alias": CHART.format(of="AND alias <> 'c100'"),
         "document_routing": "SELECT asset_id, CAST(count(*) AS BIGINT) AS n FROM msg GROUP BY 1",
         "document_scan": "SELECT event_id, asset_id FROM msg",
         "document_count": "SELECT CAST(count(*) AS BIGINT) AS n FROM msg",

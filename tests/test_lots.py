@@ -19,46 +19,54 @@ def hot_and_small_lots():
     return rows
 
 
-def test_large_lots_are_cut_and_small_ones_are_not(messages_of):
-    def sizes(piece):
-        assert piece["offset"].is_monotonic_increasing
-        first, last = piece.iloc[0], piece.iloc[-1]
-        return pd.DataFrame({
-            "lot_no": [first["lot_no"]], "partition": [first["partition"]],
-            "piece": [first["piece"]], "first": [first["offset"]], "last": [last["offset"]],
-            "n": [len(piece)],
-        })
+def piece_and_lot():
+    """Functions of a piece and of a lot: all positions in order, and the largest piece."""
+    def piece(rows):
+        assert rows["offset"].is_monotonic_increasing
+        text = "".join(f"{p}:{o};" for p, o in zip(rows["partition"], rows["offset"]))
+        return pd.DataFrame({"positions": [text], "most": [len(rows)]})
 
+    def lot(parts):
+        return pd.DataFrame({"positions": ["".join(parts["positions"])],
+                             "most": [parts["most"].max()]})
+
+    return piece, lot, "positions string, most bigint"
+
+
+def test_a_lot_has_one_result_whatever_the_cuts(messages_of):
     rows = hot_and_small_lots()
-    out = lots.apply_to_lots(
-        accepted(messages_of(rows)), sizes,
-        "lot_no string, partition int, piece bigint, first bigint, last bigint, n bigint",
-        chunk=50,
-    ).toPandas()
-    expected = defaultdict(list)
+    expected = defaultdict(str)
     for _, partition, offset, _, text in rows:
-        expected[(text.split('"5": "')[1].split("  ")[0], partition)].append(offset)
-    for (lot, partition), offsets in expected.items():
-        found = out[(out.lot_no == lot) & (out.partition == partition)].sort_values("piece")
-        assert found.n.sum() == len(offsets)
-        assert (found.n <= 100).all()
-        assert list(found["first"]) == sorted(found["first"])
-        if len(offsets) <= 50:
-            assert len(found) == 1 and found.piece.iloc[0] == 0
-        else:
-            assert len(found) >= len(offsets) // 100
-            assert (found["last"].values[:-1] < found["first"].values[1:]).all()
-
-
-def test_every_message_reaches_the_function_once(messages_of):
-    rows = hot_and_small_lots()
-    out = lots.apply_to_lots(
-        accepted(messages_of(rows)), lambda piece: piece[["partition", "offset", "payload"]],
-        "partition int, offset bigint, payload string", chunk=30,
+        expected[text.split('"5": "')[1].split("  ")[0]] += f"{partition}:{offset};"
+    for chunk in (1, 30, 10_000):
+        out = lots.apply_to_lots(
+            accepted(messages_of(rows)), *piece_and_lot(), chunk
+        ).collect()
+        assert {r["lot_no"]: r["positions"] for r in out} == expected
+        assert len(out) == len(expected) and all(r["most"] <= chunk for r in out)
+
+
+def test_blocks_of_pieces_are_put_together_in_order(messages_of, monkeypatch):
+    monkeypatch.setattr(lots, "RANGE", 4)
+    monkeypatch.setattr(lots, "RANGE_BLOCK", 3)
+    rows = message_rows([document(lot="A____001") for _ in range(50)], first=90)
+    [out] = lots.apply_to_lots(
+        accepted(messages_of(rows)), *piece_and_lot(), 3
     ).collect()
-    assert len(out) == len(rows)
-    assert {(r["partition"], r["offset"]) for r in out} == {(r[1], r[2]) for r in rows}
-    assert all('  ", "6"' not in r["payload"] for r in out)
+    assert out["positions"] == "".join(f"0:{90 + n};" for n in range(50))
+
+
+def test_messages_without_position_are_kept(messages_of):
+    rows = [(topic, partition, offset, time, text) for (_, _, offset, time, text), (topic, partition)
+            in zip(message_rows([document(lot="A____001") for _ in range(8)]),
+                   [(None, 0), (None, None), ("t", None), ("t", 1)] * 2)]
+    count = lots.apply_to_lots(
+        accepted(messages_of(rows)), lambda piece: pd.DataFrame({"n": [len(piece)]}),
+        lambda parts: pd.DataFrame({"n": [parts["n"].sum()]}), "n bigint", 3,
+    )
+    assert [tuple(r) for r in count.collect()] == [("A____001", 8)]
+    lines = lots.run_on_lots(accepted(messages_of(rows)), ["cat"], 3).collect()
+    assert sorted(r["line_no"] for r in lines) == list(range(8))
 
 
 def test_command_per_lot_reports_errors_as_rows(messages_of):
@@ -76,6 +84,20 @@ def test_command_per_lot_reports_errors_as_rows(messages_of):
     assert sum(r["line"] == "{" for r in bad) == 2
 
 
+def test_commands_that_cannot_start_end_or_write_text(messages_of):
+    docs = accepted(messages_of(message_rows([document(lot="A____001")])))
+
+    def run(*command, **options):
+        return [(r["line"], r["error"]) for r in lots.run_on_lots(docs, command, **options).collect()]
+
+    [(line, error)] = run("/no/such/command")
+    assert line is None and error.startswith("not started: ")
+    assert run("sleep", "60", seconds=0.5) == [(None, "stopped after 0.5 s")]
+    assert run("printf", "\\377\\n") == [("\ufffd", None)]
+    assert run("printf", "a\\302\\205b\\342\\200\\250c\\n\\nd") == [
+        ("a\x85b\u2028c", None), ("", None), ("d", None)]
+
+
 def test_pipe_keeps_arrival_order_of_a_lot(messages_of):
     rows = message_rows([document(f'"n": {i}', lot=f"L{i % 2}___001") for i in range(40)])
     lines = [r["line"] for r in lots.pipe_lots(accepted(messages_of(rows)), "cat").collect()]
@@ -84,6 +106,22 @@ def test_pipe_keeps_arrival_order_of_a_lot(messages_of):
         assert numbers == sorted(numbers) and len(numbers) == 20
 
 
+def test_chart_series_of_a_shared_alias_shows_its_owner(masters_of, messages_of):
+    masters = masters_of(
+        [(SITE, "Machine001", "Y")],
+        [tag("Machine001", "T2", "8", "c7"), tag("Machine001", "T1", "7", "c7")],
+    )
+    rows = message_rows([document('"7": 3.0, "8": 9.0')])
+    series = lots.chart_series(accepted(messages_of(rows)), masters).collect()
+    assert [(r["alias"], r["n"], r["max_val"]) for r in series] == [("c7", 1, 3.0)]
+
+
+def test_the_pipe_runs_without_python(messages_of, capsys):
+    lots.pipe_lots(accepted(messages_of(message_rows([document()]))), "cat").explain()
+    plan = capsys.readouterr().out
+    assert "ScriptTransformation" in plan and "Python" not in plan
+
+
 def test_chart_series(masters_of, messages_of):
     masters = masters_of([(SITE, "Machine001", "Y")], [tag("Machine001", "T1", "7", "c7")])
     texts = [document(f'"7": {v}') for v in ("3.0", "1.0", "2", "2.5", '"x"')]
