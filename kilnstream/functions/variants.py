@@ -15,6 +15,7 @@ DATE_TIME = "DATE_TIME"
 INT32 = "INT32"
 INT64 = "INT64"
 BOOLEAN = "BOOLEAN"
+WIDE_INT = "INT_OVER_64"
 NULL = "NULL"
 ARRAY = "ARRAY"
 DOCUMENT = "DOCUMENT"
@@ -58,11 +59,24 @@ def _plain_double(schema: str) -> str:
     return f"(startswith({schema}, 'DECIMAL') OR {schema} IN ('DOUBLE', 'FLOAT'))"
 
 
+def wide_int(value: str, schema: str) -> str:
+    """Whether a value is a number without fraction that 64 bits cannot hold.
+
+    Inside 64 bits an integer literal is a BIGINT, and a decimal without fraction was
+    written with a point.  Outside, both are the same decimal, so it is taken for the
+    integer that it may be.
+    """
+    number = f"try_variant_get({value}, '$', 'decimal(38,0)')"
+    return (f"(startswith({schema}, 'DECIMAL') AND endswith({schema}, ',0)') "
+            f"AND {number} NOT BETWEEN -9223372036854775808 AND 9223372036854775807)")
+
+
 def type_name(value: str, schema: str) -> str:
     """Type of a value by its own form; SQL NULL for a missing key."""
     fits_int = f"try_variant_get({value}, '$', 'int') IS NOT NULL"
     return f"""CASE
         WHEN {schema} IS NULL THEN NULL
+        WHEN {wide_int(value, schema)} THEN '{WIDE_INT}'
         WHEN {_plain_double(schema)} OR {_wraps(schema, DOUBLE_MEMBER)} THEN '{DOUBLE}'
         WHEN {schema} = 'STRING' THEN '{STRING}'
         WHEN {schema} = 'BIGINT' THEN CASE WHEN {fits_int} THEN '{INT32}' ELSE '{INT64}' END
@@ -77,9 +91,9 @@ def type_name(value: str, schema: str) -> str:
 
 def double_value(value: str, schema: str, widen_ints: bool = False) -> str:
     """The number when the value is a DOUBLE, else NULL."""
-    plain = _plain_double(schema)
+    plain = f"({_plain_double(schema)} AND NOT {wide_int(value, schema)})"
     if widen_ints:
-        plain = f"({plain} OR {schema} = 'BIGINT')"
+        plain = f"({_plain_double(schema)} OR {schema} = 'BIGINT')"
     wrapped = f"try_variant_get({value}, '$.{DOUBLE_MEMBER}', 'string')"
     return f"""CASE
         WHEN {plain} THEN try_variant_get({value}, '$', 'double')

@@ -18,6 +18,7 @@ from kilnstream.operators.once import once
 
 # Issues found in messages.
 KEY_MISSING = "mapped key missing"
+NUMBER_TOO_WIDE = "number without fraction beyond 64 bits"
 
 # A wide table wider than this belongs in long form.
 MAX_WIDE_COLUMNS = 4000
@@ -55,11 +56,13 @@ def typed_cells(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
 
 
 def cell_issues(pairs: DataFrame) -> DataFrame:
-    """Messages that lack a key their tags ask for."""
-    missing = F.col("value_schema").isNull() & F.col("mapping_key").isNotNull()
-    return pairs.where(missing).select(
-        *schemas.MESSAGE_KEY, "asset_id", "tag_id", F.lit(KEY_MISSING).alias("issue")
-    )
+    """Messages that lack a key their tags ask for, or hold a number that is no DOUBLE for sure."""
+    issue = f"""CASE
+        WHEN value_schema IS NULL AND mapping_key IS NOT NULL THEN {quoted(KEY_MISSING)}
+        WHEN {variants.wide_int("value", "value_schema")} THEN {quoted(NUMBER_TOO_WIDE)} END"""
+    return pairs.select(
+        *schemas.MESSAGE_KEY, "asset_id", "tag_id", F.expr(issue).alias("issue")
+    ).where("issue IS NOT NULL")
 
 
 def wide_columns(tags: DataFrame, limit: int = MAX_WIDE_COLUMNS) -> list[str]:

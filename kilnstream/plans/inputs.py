@@ -21,6 +21,18 @@ def machine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.machine_messages(utc(spark), sf_dir)
 
 
+def wide_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose "8" is a whole number beyond 64 bits, 1.0, 100.0 or 9e0, in turn."""
+    number = F.expr("""CASE `offset` % 4
+        WHEN 0 THEN concat('9223372036854775', lpad(CAST(`offset` AS STRING), 12, '0'))
+        WHEN 1 THEN '1.0' WHEN 2 THEN '100.0' ELSE '9e0' END""")
+    rows = machine_messages(spark, sf_dir)
+    key = F.lit('"8": ')
+    return rows.withColumn("value", F.replace(
+        "value", F.concat(key, F.col("offset").cast("string")), F.concat(key, number)
+    ))
+
+
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.status_messages(utc(spark), sf_dir)
 

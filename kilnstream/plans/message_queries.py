@@ -59,6 +59,21 @@ def value_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def value_types_wide_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of key "8" where it holds a number beyond 64 bits, 1.0, 100.0 or 9e0."""
+    rows = messages.accepted(messages.parse_machine_messages(inputs.wide_ints(spark, sf_dir)))
+    return messages.value_types(rows).where("key = '8'").select(event_id(), "key", "value_type")
+
+
+def alarm_wide_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarms of the same messages: the wide number raises none."""
+    rows = messages.accepted(messages.parse_machine_messages(inputs.wide_ints(spark, sf_dir)))
+    tags = alarms.limited_tags(inputs.masters(spark, sf_dir).tags)
+    return alarms.alarm_levels(cells.document_tags(rows, tags)).select(
+        event_id(), "tag_id", "alarm_val", "alarm_level_cd"
+    )
+
+
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reject reasons after a quarter of the texts is cut and a quarter loses its lot number."""
     rows = inputs.machine_messages(spark, sf_dir)
@@ -274,7 +289,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         message_text, lot_blank_repair, parse_typed, lot_extract, asset_from_lot,
-        asset_from_status, enrich_document, value_types, quarantine_split, asset_scan, tag_scan,
+        asset_from_status, enrich_document, value_types, value_types_wide_ints,
+        alarm_wide_ints, quarantine_split, asset_scan, tag_scan,
         tag_scan_limits, code_lookup, modelled_filter, unmodelled_documents, asset_tags,
         document_tags, typed_cells, typed_cells_widened, wide_rows, wide_rows_typed,
         wide_rows_pivot, wide_rows_one_asset, alarm_levels, alarm_null_limits, alarm_time_key,

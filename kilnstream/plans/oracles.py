@@ -165,6 +165,12 @@ def _over_messages() -> dict[str, str]:
         "enrich_document": "SELECT event_id, asset_id, '1' AS oper_stat FROM msg",
         "value_types": f"SELECT event_id, t.key, t.value_type FROM msg "
                        f"CROSS JOIN (VALUES {kinds}) t(key, value_type)",
+        "value_types_wide_ints": "SELECT event_id, '8' AS key, CASE event_id % 4 WHEN 0 "
+                                 "THEN 'INT_OVER_64' ELSE 'DOUBLE' END AS value_type FROM msg",
+        "alarm_wide_ints": "SELECT event_id, tag_id, alarm_val, alarm_level_cd FROM alarm "
+                           "UNION ALL SELECT event_id, 'T08', CASE event_id % 4 WHEN 2 "
+                           "THEN 100.0 ELSE 9.0 END::DOUBLE, '0' FROM modelled "
+                           "WHERE event_id % 4 IN (2, 3)",
         "quarantine_split": "SELECT event_id, CASE event_id % 4 "
                             "WHEN 1 THEN 'not a JSON document' "
                             "WHEN 3 THEN 'lot number missing or not a string' END "
