@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kilnstream import fixed, schemas
 from kilnstream.functions import text
 from kilnstream.functions.text import quoted
-from kilnstream.operators.lookup import Lookup, join_lookup, measure
+from kilnstream.operators.lookup import BROADCAST_LIMIT, Lookup, join_lookup, measure
 
 # Issues found in the masters.
 BAD_LIMIT = "limit is not a number"
@@ -113,9 +113,11 @@ def load_masters(
     return Masters(site, *measure(confirmed, prepared))
 
 
-def modelled(messages: DataFrame, masters: Masters) -> DataFrame:
+def modelled(
+    messages: DataFrame, masters: Masters, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
     """Messages of assets with a confirmed model at this site."""
-    return join_lookup(messages, masters.confirmed, ["asset_id"], "left_semi")
+    return join_lookup(messages, masters.confirmed, ["asset_id"], "left_semi", limit)
 
 
 def unmodelled(messages: DataFrame, masters: Masters) -> DataFrame:

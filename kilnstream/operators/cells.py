@@ -2,8 +2,11 @@
 
 A cell is one tag's value in one message.  Cells come in long form
 (``document_tags`` / ``typed_cells``, one row per message and tag) and in wide
-form (``wide_rows``, one row per message, one column per alias).  The wide form
-reads each alias straight from the document, so nothing is shuffled.
+form, one row per message: as a map from alias to cell (``wide_cells``), which is
+what is stored, or with one column per alias (``wide_view`` of it, ``wide_rows``).
+The map holds just the aliases of the message's own asset, however many there are
+elsewhere and whenever they were added.  The wide forms read each alias straight
+from the document, so nothing is shuffled.
 """
 
 from pyspark.sql import DataFrame
@@ -13,16 +16,15 @@ from kilnstream import fixed, schemas
 from kilnstream.functions import text, variants
 from kilnstream.functions.text import quoted
 from kilnstream.operators.assets import Masters, alias_tags
-from kilnstream.operators.lookup import FIELD_OVERHEAD, Lookup, join_lookup
+from kilnstream.operators.lookup import (
+    BROADCAST_LIMIT, FIELD_OVERHEAD, Lookup, join_lookup,
+)
 from kilnstream.operators.once import once
 
 # Issues found in messages.
 KEY_MISSING = "mapped key missing"
 NUMBER_TOO_WIDE = "number without fraction beyond 64 bits"
 
-# A wide table wider than this belongs in long form.
-MAX_WIDE_COLUMNS = 4000
-
 # Wide columns computed by one step of generated code, and most columns done so.
 COLUMNS_PER_STEP = 2
 MAX_STEPWISE_COLUMNS = 32
@@ -40,12 +42,16 @@ def cell_text(value: str, schema: str, double_tag: str, widen_ints: bool = False
                       CAST({variants.date_time_value(value, schema)} AS STRING)) END"""
 
 
-def document_tags(messages: DataFrame, tags: Lookup) -> DataFrame:
+def document_tags(
+    messages: DataFrame, tags: Lookup, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
     """One row per message of a modelled asset and tag, with the tag's ``value``.
 
-    A missing key keeps its row with a NULL value.
+    A missing key keeps its row with a NULL value.  The document and its text stay
+    behind; its members are all that the tags need.
     """
-    paired = join_lookup(messages, tags, ["asset_id"])
+    lean = messages.drop("doc", "payload")
+    paired = join_lookup(lean, tags, ["asset_id"], limit=limit)
     valued = once(paired, value=variants.member("members", "mapping_key"))
     return once(valued, value_schema=variants.schema_text("value"))
 
@@ -65,17 +71,18 @@ def cell_issues(pairs: DataFrame) -> DataFrame:
     ).where("issue IS NOT NULL")
 
 
-def wide_columns(tags: DataFrame, limit: int = MAX_WIDE_COLUMNS) -> list[str]:
-    """Aliases of the prepared tags, ordered by tag id: the columns of the wide table."""
+def wide_columns(tags: DataFrame) -> list[str]:
+    """Aliases of the prepared tags, ordered by tag id: the columns of a wide view.
+
+    A frame's columns are named by the driver, so this is for views; the stored
+    form does not need it.
+    """
     rows = (
         tags.where(F.col("alias").isNotNull())
         .groupBy("alias").agg(F.min("tag_id").alias("first_tag"))
         .orderBy("first_tag", "alias")
-        .limit(limit + 1)
         .collect()
     )
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} aliases; use the long form or one asset at a time")
     return [row["alias"] for row in rows]
 
 
@@ -123,20 +130,43 @@ def _cells_in_steps(rows: DataFrame, n: int, widen_ints: bool) -> tuple[DataFram
     return rows, [f"_c{i}" for i in range(n)]
 
 
-def _cells_in_array(rows: DataFrame, n: int, widen_ints: bool) -> tuple[DataFrame, list[str]]:
-    """Cells of any number of columns by one array expression; slower per cell."""
+def wide_cells(messages: DataFrame, masters: Masters, widen_ints: bool = False) -> DataFrame:
+    """One row per message of a modelled asset with tags: ``cells``, a map by alias."""
+    tags = masters.tags
+    by_asset = alias_tags(tags.frame).groupBy("asset_id").agg(F.collect_list(
+        F.struct("alias", "mapping_key", "double_tag")
+    ).alias("asset_tags"))
+    rows = messages.select(*schemas.MESSAGE_KEY, "asset_id", "members")
+    rows = join_lookup(rows, tags.widened(by_asset, 0), ["asset_id"])
     rows = once(rows, _values=(
-        "transform(column_tags, t -> named_struct("
-        f"'v', {variants.member('members', 't.mapping_key')}, 'd', t.double_tag))"
+        "transform(asset_tags, t -> named_struct('a', t.alias, 'd', t.double_tag, "
+        f"'v', {variants.member('members', 't.mapping_key')}))"
     ))
     rows = once(rows, _typed=(
-        "transform(_values, x -> named_struct("
-        f"'v', x.v, 'd', x.d, 's', {variants.schema_text('x.v')}))"
+        "transform(_values, x -> named_struct('a', x.a, 'd', x.d, 'v', x.v, "
+        f"'s', {variants.schema_text('x.v')}))"
     ))
-    rows = once(rows, _cells=(
-        f"transform(_typed, x -> {cell_text('x.v', 'x.s', 'x.d', widen_ints)})"
-    ))
-    return rows, [f"_cells[{i}]" for i in range(n)]
+    cell = cell_text("x.v", "x.s", "x.d", widen_ints)
+    return rows.selectExpr(
+        *map(text.name, [*schemas.MESSAGE_KEY, "asset_id"]),
+        f"map_from_entries(transform(_typed, x -> struct(x.a, {cell}))) AS cells",
+    )
+
+
+def wide_view(rows: DataFrame, columns: list[str], doubles: set[str] = frozenset()) -> DataFrame:
+    """Rows with ``cells`` as rows with one column per alias; ``doubles`` become numbers."""
+    cells = [f"try_element_at(cells, {quoted(alias)})" for alias in columns]
+    return rows.selectExpr(
+        *[text.name(name) for name in rows.columns if name != "cells"],
+        *_named(columns, cells, doubles),
+    )
+
+
+def _named(columns: list[str], cells: list[str], doubles: set[str]) -> list[str]:
+    return [
+        f"{f'try_cast({cell} AS DOUBLE)' if alias in doubles else cell} AS {text.name(alias)}"
+        for alias, cell in zip(columns, cells)
+    ]
 
 
 def wide_rows(
@@ -150,14 +180,13 @@ def wide_rows(
     tags = masters.tags
     columns = wide_columns(tags.frame) if columns is None else columns
     doubles = double_columns(tags.frame, columns) if typed else set()
+    if len(columns) > MAX_STEPWISE_COLUMNS:
+        return wide_view(wide_cells(messages, masters, widen_ints), columns, doubles)
     rows = join_lookup(messages, _tags_by_column(masters, columns), ["asset_id"])
-    make = _cells_in_steps if len(columns) <= MAX_STEPWISE_COLUMNS else _cells_in_array
-    rows, cells = make(rows, len(columns), widen_ints)
-    named = [
-        f"{f'try_cast({cell} AS DOUBLE)' if alias in doubles else cell} AS {text.name(alias)}"
-        for alias, cell in zip(columns, cells)
-    ]
-    return rows.selectExpr(*map(text.name, [*schemas.MESSAGE_KEY, "asset_id"]), *named)
+    rows, cells = _cells_in_steps(rows, len(columns), widen_ints)
+    return rows.selectExpr(
+        *map(text.name, [*schemas.MESSAGE_KEY, "asset_id"]), *_named(columns, cells, doubles)
+    )
 
 
 def wide_rows_by_pivot(cells: DataFrame, tags: DataFrame, columns: list[str]) -> DataFrame:

@@ -33,14 +33,14 @@ def stored_documents(accepted: DataFrame) -> DataFrame:
 
 
 def learning_plan(
-    parsed: DataFrame, masters: Masters, typed: bool = False, widen_ints: bool = False
+    parsed: DataFrame, masters: Masters, widen_ints: bool = False
 ) -> dict[str, DataFrame]:
-    """Documents, cells and wide rows of parsed machine messages."""
+    """Documents, cells and wide rows (as maps) of parsed machine messages."""
     accepted = messages.accepted(parsed)
     pairs = cells.document_tags(accepted, masters.tags)
     return {
         DOCUMENTS: stored_documents(accepted),
-        WIDE: cells.wide_rows(accepted, masters, typed=typed, widen_ints=widen_ints),
+        WIDE: cells.wide_cells(accepted, masters, widen_ints),
         CELLS: cells.typed_cells(pairs, widen_ints).select(
             *schemas.MESSAGE_KEY, "asset_id", "tag_id", "alias", "cell"
         ),
@@ -59,10 +59,10 @@ def machine_alarms(
 
 
 def machine_plan(
-    parsed: DataFrame, masters: Masters, typed: bool = False, widen_ints: bool = False
+    parsed: DataFrame, masters: Masters, widen_ints: bool = False
 ) -> dict[str, DataFrame]:
     """The learning outputs and the alarms."""
-    frames = learning_plan(parsed, masters, typed, widen_ints)
+    frames = learning_plan(parsed, masters, widen_ints)
     history = machine_alarms(messages.accepted(parsed), masters, widen_ints)
     frames[ALARMS] = history
     frames[ISSUES] = frames[ISSUES].unionByName(alarms.alarm_issues(history))

@@ -69,6 +69,22 @@ def masters_with_shared_alias(spark: SparkSession, sf_dir: str) -> Masters:
     )
 
 
+def masters_with_tags(spark: SparkSession, sf_dir: str, tag_ids: list[str]) -> Masters:
+    """Masters that know only some tags."""
+    tags = derived.tag_master(spark, sf_dir).where(F.col("tag_id").isin(tag_ids))
+    return assets.load_masters(
+        derived.asset_master(spark, sf_dir), tags, derived.type_codes(spark), SITE, keep=True
+    )
+
+
+def part_masters(spark: SparkSession, sf_dir: str) -> Masters:
+    """Masters that grow with ``part``: three tags of every part, dealt to the machines."""
+    return assets.load_masters(
+        derived.asset_master(spark, sf_dir), derived.part_tags(spark, sf_dir),
+        derived.type_codes(spark), SITE, keep=True,
+    )
+
+
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.parse_machine_messages(machine_messages(spark, sf_dir))
 

@@ -173,6 +173,33 @@ def wide_rows_one_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_first(cells.wide_rows(rows, masters, columns))
 
 
+def wide_rows_many_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide rows over more aliases than a table has room for: counts, and the first cell."""
+    rows = cells.wide_cells(inputs.accepted(spark, sf_dir), inputs.part_masters(spark, sf_dir))
+    return rows.selectExpr(
+        "`offset` AS event_id", "asset_id", "CAST(size(cells) AS BIGINT) AS n_aliases",
+        "CAST(size(filter(map_values(cells), c -> c IS NOT NULL)) AS BIGINT) AS n_filled",
+        "array_min(map_entries(cells)).value AS first_cell",
+    )
+
+
+def document_tags_large_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and values per tag of a large master, joined without broadcasting it."""
+    masters = inputs.part_masters(spark, sf_dir)
+    pairs = cells.document_tags(inputs.accepted(spark, sf_dir), masters.tags, limit=0)
+    return pairs.groupBy("asset_id", "tag_id").agg(
+        F.count("*").alias("n"), F.count("value_schema").alias("n_values")
+    )
+
+
+def modelled_filter_large_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of modelled assets, the master joined by a salted shuffle."""
+    masters = inputs.masters(spark, sf_dir)
+    return assets.modelled(inputs.accepted(spark, sf_dir), masters, limit=0).select(
+        event_id(), "asset_id"
+    )
+
+
 def alarm_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alarms.alarm_levels(_limited_pairs(spark, sf_dir)).select(
         event_id(), "tag_id", "alarm_val", "alarm_level_cd"
@@ -293,7 +320,8 @@ QUERIES = {
         alarm_wide_ints, quarantine_split, asset_scan, tag_scan,
         tag_scan_limits, code_lookup, modelled_filter, unmodelled_documents, asset_tags,
         document_tags, typed_cells, typed_cells_widened, wide_rows, wide_rows_typed,
-        wide_rows_pivot, wide_rows_one_asset, alarm_levels, alarm_null_limits, alarm_time_key,
+        wide_rows_pivot, wide_rows_one_asset, wide_rows_many_aliases, document_tags_large_master,
+        modelled_filter_large_master, alarm_levels, alarm_null_limits, alarm_time_key,
         alarm_history, latest_status, status_update, group_by_asset, group_by_lot, lot_payloads,
         lot_apply, lot_null_position, lot_command, lot_pipe, lot_chart_series,
         lot_chart_series_shared_alias,

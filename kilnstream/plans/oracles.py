@@ -121,6 +121,10 @@ SELECT lot_no, CAST(count(*) AS BIGINT) AS n,
        arg_max(word, (user_id % 3, event_id)) AS last_word
 FROM lagged GROUP BY 1"""
 
+PARTS = """
+, parts AS (
+  SELECT p_partkey % 20 AS m, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1)"""
+
 CHART = """
 SELECT lot_no, minute_key AS minute, alias, CAST(count(*) AS BIGINT) AS n, min(num) AS min_val,
        max(num) AS max_val, arg_max(num, (ts, user_id % 3, event_id)) AS last_val
@@ -196,6 +200,18 @@ def _over_messages() -> dict[str, str]:
                            "CAST(NULL AS DOUBLE) AS c8, CAST(k AS DOUBLE) AS c100 FROM modelled",
         "wide_rows_pivot": WIDE,
         "wide_rows_one_asset": WIDE + " WHERE asset_id = 'Machine006'",
+        "wide_rows_many_aliases": f"{PARTS} SELECT event_id, asset_id, 3 * n AS n_aliases, "
+                                  "2 * n AS n_filled, "
+                                  "CASE WHEN word = '' THEN '0.0' ELSE word END AS first_cell "
+                                  "FROM modelled JOIN parts ON parts.m = user_id % 20",
+        "document_tags_large_master": f"{PARTS} SELECT asset_id, "
+                                      "'P' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') || '_' "
+                                      "|| key AS tag_id, CAST(count(*) AS BIGINT) AS n, "
+                                      "CAST(count(*) FILTER (key <> '9') AS BIGINT) AS n_values "
+                                      "FROM modelled JOIN part ON p_partkey % 20 = user_id % 20 "
+                                      "CROSS JOIN (VALUES ('6'), ('7'), ('9')) k(key) "
+                                      "GROUP BY 1, 2",
+        "modelled_filter_large_master": "SELECT event_id, asset_id FROM modelled",
         "alarm_levels": "SELECT event_id, tag_id, alarm_val, alarm_level_cd FROM alarm",
         "alarm_null_limits": "SELECT t.tag_id, CAST(count(a.tag_id) AS BIGINT) AS n FROM tag t "
                              "LEFT JOIN alarm a ON a.tag_id = t.tag_id GROUP BY 1",
@@ -224,11 +240,16 @@ def _over_messages() -> dict[str, str]:
         "staging_targets": "SELECT 'documents_temp' AS target, CAST(count(*) AS BIGINT) AS n "
                            "FROM msg UNION ALL SELECT 'wide_rows_temp', count(*) FROM modelled "
                            "UNION ALL SELECT 'alarm_history_temp', count(*) FROM alarm",
-        "generate_documents": "SELECT row_number() OVER (ORDER BY event_id) AS test FROM msg",
+        "generate_documents": "SELECT event_id AS test, user_id, event_type FROM msg",
         "stream_source_replay": f"SELECT event_id, {PADDED} AS value FROM msg",
         "stream_machine_job": ALARM,
         "stream_learning_job": WIDE,
+        "stream_alias_added": "SELECT event_id, asset_id, word AS c6, "
+                              "CASE WHEN event_id % 3 > 0 THEN CASE WHEN word = '' THEN '0.0' "
+                              "ELSE word END END AS c6d, "
+                              "CASE WHEN event_id % 3 > 1 THEN value_text END AS c7 FROM modelled",
         "stream_status_job": STATUS_UPDATE,
+        "stream_status_late": STATUS_UPDATE,
         "stream_dim_refresh": REFRESH,
     }
 

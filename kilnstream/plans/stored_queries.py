@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
-from kilnstream.operators import lots
+from kilnstream.operators import cells, lots
 from kilnstream.operators.assets import Masters
 from kilnstream.plans import batch, inputs
 from kilnstream.plans.message_queries import event_id
@@ -80,11 +80,16 @@ def staging_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated documents as there are events, saved and read back."""
-    n = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    """Documents made of the events, saved and read back."""
     path = shared_folder(spark)
-    documents.save_documents(documents.generated_documents(spark, n), path)
-    return documents.read_documents(spark, path, schema="test bigint")
+    made = derived.events(spark, sf_dir).select(
+        F.col("event_id").alias("test"), F.struct("user_id", "event_type").alias("by")
+    )
+    documents.save_documents(made, path)
+    schema = "test bigint, by struct<user_id: bigint, event_type: string>"
+    return documents.read_documents(spark, path, schema=schema).select(
+        "test", "by.user_id", "by.event_type"
+    )
 
 
 # --- relational tables -------------------------------------------------------
@@ -250,10 +255,55 @@ def stream_machine_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_learning_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _run_documents_job(spark, sf_dir, jobs.learning_job)
-    rows = tables.read(spark, batch.WIDE, merge_schema=True)
+    columns = cells.wide_columns(inputs.masters(spark, sf_dir).tags.frame)
+    return _wide(cells.wide_view(tables.read(spark, batch.WIDE), columns))
+
+
+def _wide(rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed("offset", "event_id").drop("topic", "partition", "batch_id")
 
 
+def _run_parts(spark: SparkSession, rows: DataFrame, parts: list, tables: BatchTables, run) -> None:
+    """Feed the rows that meet each condition to ``run(stream, number)``, one batch each."""
+    folder = shared_folder(spark)
+    for number, part in enumerate(parts):
+        rows.where(part).select(*schemas.MESSAGE.names).write.mode("append").parquet(folder)
+        run(streams.file_stream(spark, folder), number).awaitTermination()
+
+
+def stream_alias_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide rows while every batch knows one tag more than the one before."""
+    tables = BatchTables(shared_folder(spark))
+    known = [row[0] for row in derived.TAG_TEMPLATE]
+
+    def run(stream: DataFrame, number: int):
+        return jobs.learning_job(
+            stream, lambda s: inputs.masters_with_tags(s, sf_dir, known[:number + 1]),
+            tables, f"{tables.root}/checkpoint", available_now=True,
+        )
+
+    _run_parts(spark, inputs.machine_messages(spark, sf_dir),
+               [F.col("offset") % BATCHES == i for i in range(BATCHES)], tables, run)
+    columns = [row[2] for row in derived.TAG_TEMPLATE[:BATCHES]]
+    return _wide(cells.wide_view(tables.read(spark, batch.WIDE), columns))
+
+
+def stream_status_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The asset master when the messages of the first half of each month come last."""
+    tables = BatchTables(shared_folder(spark))
+    jobs.start_asset_versions(derived.asset_master(spark, sf_dir), tables)
+
+    def run(stream: DataFrame, number: int):
+        return jobs.status_job(
+            stream, lambda session: inputs.masters(session, sf_dir),
+            tables, f"{tables.root}/checkpoint", available_now=True,
+        )
+
+    late = F.dayofmonth("timestamp") < 15
+    _run_parts(spark, inputs.status_messages(spark, sf_dir), [~late, late], tables, run)
+    return jobs.current_assets(spark, tables).drop("stat_order", "stat_chg_dtm")
+
+
 def stream_status_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _message_folder(spark, inputs.status_messages(spark, sf_dir))
     tables = BatchTables(shared_folder(spark))
@@ -302,6 +352,7 @@ QUERIES = {
         document_routing, document_scan, document_count, document_json_scan, staging_targets,
         generate_documents, jdbc_scan, sql_range_filter, limit_rows, sql_insert_values,
         sql_insert_nulls, jdbc_append, jdbc_truncate_overwrite, stream_source_replay,
-        stream_machine_job, stream_learning_job, stream_status_job, stream_dim_refresh,
+        stream_machine_job, stream_learning_job, stream_alias_added, stream_status_job,
+        stream_status_late, stream_dim_refresh,
     )
 }

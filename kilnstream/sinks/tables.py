@@ -75,11 +75,13 @@ class BatchTables:
         spark: SparkSession,
         table: str,
         schema: str | None = None,
-        merge_schema: bool = False,
     ) -> DataFrame:
-        """All committed rows of a table, with ``batch_id``."""
+        """All committed rows of a table, with ``batch_id``.
+
+        Columns that only some batches have are NULL in the others.
+        """
         last = self.last_batch(spark)
-        reader = spark.read.option("mergeSchema", merge_schema)
+        reader = spark.read.option("mergeSchema", schema is None)
         if schema is not None:
             reader = reader.schema(f"{schema}, batch_id bigint")
         rows = reader.parquet(self.path(table))

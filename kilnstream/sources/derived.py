@@ -156,6 +156,26 @@ def tag_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*schemas.TAG_LIMIT_SCAN_COLUMNS)
 
 
+# Mapping keys of a part's tags; no message has the last.
+PART_KEYS = ["6", "7", "9"]
+
+
+def part_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tag master as large as ``part``: one tag for every part and key, no limits."""
+    machine = _machine_number("p_partkey")
+    keys = ", ".join(f"'{key}'" for key in PART_KEYS)
+    rows = _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", f"concat('{fixed.ASSET_PREFIX}', {machine}) AS asset_id",
+        f"explode(array({keys})) AS mapping_key",
+    )
+    tag_id = "concat('P', lpad(CAST(p_partkey AS STRING), 12, '0'), '_', mapping_key)"
+    limits = [f"CAST(NULL AS STRING) AS {name}" for name in fixed.LIMIT_COLUMNS]
+    return rows.selectExpr(
+        f"'{SITE}' AS site_id", "asset_id", f"{tag_id} AS tag_id", f"{tag_id} AS tag_nm",
+        f"lower({tag_id}) AS alias", "mapping_key", *limits, "'D01' AS data_type_cd",
+    ).select(*schemas.TAG_LIMIT_SCAN_COLUMNS)
+
+
 def type_codes(spark: SparkSession) -> DataFrame:
     rows = ", ".join(str(row) for row in TYPE_CODES)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS codes({', '.join(schemas.CODE.names)})")

@@ -1,7 +1,6 @@
-"""Document collections: scan, save, generate."""
+"""Document collections: scan and save."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_documents(
@@ -22,8 +21,3 @@ def save_documents(rows: DataFrame, path: str, form: str = "json", **options) ->
     """Append rows to a collection."""
     writer = rows.write.format(form).options(**options).mode("append")
     writer.save(path) if path else writer.save()
-
-
-def generated_documents(spark: SparkSession, n: int = 10) -> DataFrame:
-    """Documents ``{"test": 1}`` to ``{"test": n}``."""
-    return spark.range(1, n + 1).select(F.col("id").alias("test"))

@@ -31,15 +31,25 @@ def _now():
 
 
 def _start(
-    stream: DataFrame, on_batch: BatchHook, checkpoint: str, name: str, available_now: bool
+    stream: DataFrame,
+    on_batch: BatchHook,
+    checkpoint: str,
+    available_now: bool = False,
+    name: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
+    """Start a job; ``every`` is the time between batches, without it they follow at once."""
     writer = (
-        stream.writeStream.queryName(name).outputMode("append")
+        stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(on_batch)
     )
+    if name is not None:
+        writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif every is not None:
+        writer = writer.trigger(processingTime=every)
     return writer.start()
 
 
@@ -61,7 +71,6 @@ def write_documents_batch(
     tables: BatchTables,
     with_alarms: bool,
     mode: str = messages.QUARANTINE,
-    typed: bool = False,
     widen_ints: bool = False,
     after: BatchHook | None = None,
 ) -> None:
@@ -73,7 +82,7 @@ def write_documents_batch(
     masters = load_masters(rows.sparkSession)
     try:
         plan = plans.machine_plan if with_alarms else plans.learning_plan
-        frames = plan(parsed, masters, typed, widen_ints)
+        frames = plan(parsed, masters, widen_ints)
         _write_all(tables, frames, batch_id)
         if after is not None:
             after(messages.accepted(parsed), batch_id)
@@ -89,6 +98,8 @@ def machine_job(
     tables: BatchTables,
     checkpoint: str,
     available_now: bool = False,
+    name: str | None = None,
+    every: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Documents, cells, wide rows and alarms of machine messages.
@@ -98,7 +109,7 @@ def machine_job(
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         write_documents_batch(rows, batch_id, load_masters, tables, True, **options)
 
-    return _start(stream, on_batch, checkpoint, "machine_job", available_now)
+    return _start(stream, on_batch, checkpoint, available_now, name, every)
 
 
 def learning_job(
@@ -107,13 +118,15 @@ def learning_job(
     tables: BatchTables,
     checkpoint: str,
     available_now: bool = False,
+    name: str | None = None,
+    every: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Documents, cells and wide rows of learning messages."""
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         write_documents_batch(rows, batch_id, load_masters, tables, False, **options)
 
-    return _start(stream, on_batch, checkpoint, "learning_job", available_now)
+    return _start(stream, on_batch, checkpoint, available_now, name, every)
 
 
 def start_asset_versions(assets: DataFrame, tables: BatchTables) -> None:
@@ -174,10 +187,12 @@ def status_job(
     tables: BatchTables,
     checkpoint: str,
     available_now: bool = False,
+    name: str | None = None,
+    every: str | None = None,
     **options,
 ) -> StreamingQuery:
     """In-place update of the asset master from status messages."""
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         write_status_batch(rows, batch_id, load_masters, tables, **options)
 
-    return _start(stream, on_batch, checkpoint, "status_job", available_now)
+    return _start(stream, on_batch, checkpoint, available_now, name, every)

@@ -5,7 +5,7 @@ from conftest import SITE, asset_frame, code_frame, document, message_rows, tag,
 from test_status import status_text
 
 from kilnstream import schemas
-from kilnstream.operators import assets, messages
+from kilnstream.operators import assets, cells, messages
 from kilnstream.plans import batch
 from kilnstream.sinks.tables import BatchTables, drop_replayed
 from kilnstream.sources import streams
@@ -65,7 +65,7 @@ def test_machine_job_equals_the_batch_plan(spark, feed):
     plan = batch.machine_plan(parsed, feed.masters(spark))
     for table, columns in {
         batch.DOCUMENTS: ["partition", "offset", "asset_id", "oper_stat"],
-        batch.WIDE: ["partition", "offset", "asset_id", "c7"],
+        batch.WIDE: ["partition", "offset", "asset_id", "cells.c7"],
         batch.CELLS: ["partition", "offset", "tag_id", "cell"],
         batch.ALARMS: ["partition", "offset", "alarm_id", "alarm_val", "alarm_level_cd"],
         batch.QUARANTINE: ["partition", "offset", "reject_reason", "payload"],
@@ -92,7 +92,7 @@ def test_replay_of_a_batch_changes_nothing(spark, feed, messages_of):
     for _ in range(2):
         jobs.write_documents_batch(rows, 0, feed.masters, feed.tables, with_alarms=True)
         assert feed.rows(batch.ALARMS, "offset") == [(0,)]
-        assert feed.rows(batch.WIDE, "offset", "c7") == [(0, "15.0"), (1, "5.0")]
+        assert feed.rows(batch.WIDE, "offset", "cells.c7") == [(0, "15.0"), (1, "5.0")]
     empty = rows.where("offset < 0")
     jobs.write_documents_batch(empty, 1, feed.masters, feed.tables, with_alarms=True)
     assert feed.tables.last_batch(spark) == 0
@@ -130,14 +130,30 @@ def test_masters_are_read_anew_for_every_batch(feed):
 def test_learning_job_writes_no_alarms(spark, feed):
     seen = []
     feed.add(message_rows(texts_with(["15.0"])))
-    feed.run(jobs.learning_job, typed=True, after=lambda rows, i: seen.append((i, rows.count())))
-    wide = feed.tables.read(spark, batch.WIDE)
+    feed.run(jobs.learning_job, after=lambda rows, i: seen.append((i, rows.count())))
+    wide = cells.wide_view(feed.tables.read(spark, batch.WIDE), ["c7"], {"c7"})
     assert [(r["asset_id"], r["c7"]) for r in wide.collect()] == [("Machine001", 15.0)]
     assert seen == [(0, 1)]
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         feed.tables.read(spark, batch.ALARMS)
 
 
+def test_two_jobs_run_side_by_side(spark, feed, tmp_path):
+    feed.add(message_rows(texts_with(["15.0"])))
+    started = [
+        jobs.machine_job(
+            streams.file_stream(spark, f"{feed.folder}/in"), feed.masters,
+            BatchTables(f"{tmp_path}/{n}"), f"{tmp_path}/c{n}", name=name, every="1 second",
+        ) for n, name in enumerate([None, "second"])
+    ]
+    for query in started:
+        query.processAllAvailable()
+    assert [query.name for query in started] == [None, "second"]
+    for n, query in enumerate(started):
+        query.stop()
+        assert BatchTables(f"{tmp_path}/{n}").read(spark, batch.ALARMS).count() == 1
+
+
 def test_failfast_stops_the_job(feed):
     feed.add(message_rows(["{bad"]))
     with pytest.raises(Exception, match=messages.NOT_JSON):
