@@ -52,11 +52,12 @@ def read_masters(
     site: str,
     asset_table: str = "tb_bigdata_asset",
     tag_table: str = "tb_bigdata_asset_tag",
-) -> tuple[DataFrame, DataFrame]:
-    """Asset and tag scans of one site."""
+    code_table: str = "tb_common_code",
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Asset and tag scans of one site, and the codes: what ``assets.load_masters`` takes."""
     assets = read_site_rows(spark, options, asset_table, site, schemas.ASSET_SCAN_COLUMNS)
     tags = read_site_rows(spark, options, tag_table, site, schemas.TAG_LIMIT_SCAN_COLUMNS)
-    return assets, tags
+    return assets, tags, read_table(spark, options, code_table).select(*schemas.CODE.names)
 
 
 def register_view(rows: DataFrame, view: str) -> None:

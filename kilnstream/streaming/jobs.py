@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from kilnstream.operators import messages, status
 from kilnstream.operators.assets import Masters
 from kilnstream.plans import batch as plans
+from kilnstream.sinks.relational import RelationalTargets
 from kilnstream.sinks.tables import BatchTables
 
 MASTER = "asset_master"
@@ -73,6 +74,7 @@ def write_documents_batch(
     mode: str = messages.QUARANTINE,
     widen_ints: bool = False,
     after: BatchHook | None = None,
+    relational: RelationalTargets | None = None,
 ) -> None:
     """One batch of the machine or the learning job, streamed or backfilled."""
     parsed = messages.parse_machine_messages(rows, _now(), mode).persist()
@@ -84,6 +86,8 @@ def write_documents_batch(
         plan = plans.machine_plan if with_alarms else plans.learning_plan
         frames = plan(parsed, masters, widen_ints)
         _write_all(tables, frames, batch_id)
+        if relational is not None:
+            relational.write(frames, frames[plans.WIDE], masters, batch_id)
         if after is not None:
             after(messages.accepted(parsed), batch_id)
         tables.commit(parsed, batch_id)
@@ -158,6 +162,7 @@ def write_status_batch(
     load_masters: LoadMasters,
     tables: BatchTables,
     mode: str = messages.QUARANTINE,
+    relational: RelationalTargets | None = None,
 ) -> None:
     """One batch of the status job: the next version of the asset master."""
     spark = rows.sparkSession
@@ -168,13 +173,16 @@ def write_status_batch(
     masters = load_masters(spark)
     try:
         before = current_assets(spark, tables, before=batch_id)
-        updated, latest = plans.status_plan(parsed, masters, before, _now())
+        now = _now()
+        updated, latest = plans.status_plan(parsed, masters, before, now)
         frames = {
             MASTER: updated,
             plans.QUARANTINE: messages.quarantined(parsed),
             plans.ISSUES: status.status_issues(latest),
         }
         _write_all(tables, frames, batch_id)
+        if relational is not None:
+            relational.update(latest, masters.site, now)
         tables.commit(parsed, batch_id)
     finally:
         parsed.unpersist()
