@@ -11,14 +11,8 @@ from kilnstream.sources import derived
 SITE = derived.SITE
 
 
-
-def utc(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def machine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.machine_messages(utc(spark), sf_dir)
+    return derived.machine_messages(spark, sf_dir)
 
 
 def wide_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +28,7 @@ def wide_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.status_messages(utc(spark), sf_dir)
+    return derived.status_messages(spark, sf_dir)
 
 
 def masters(spark: SparkSession, sf_dir: str) -> Masters:

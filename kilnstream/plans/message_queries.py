@@ -219,7 +219,7 @@ def alarm_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat("minute_key", "key_part")
     masters = inputs.masters(spark, sf_dir)
     timed = cells.document_tags(
-        alarms.with_minute(inputs.modelled(spark, sf_dir)), masters.tags
+        alarms.with_minute(inputs.accepted(spark, sf_dir)), masters.tags
     )
     return timed.select(event_id(), "tag_id", key.alias("time_key"))
 

@@ -50,7 +50,9 @@ PROP_K = """CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT)"""
 def _key(topic: str) -> list[str]:
     return [
         f"'{topic}' AS topic", "CAST(user_id % 3 AS INT) AS `partition`",
-        "event_id AS `offset`", "CAST(ts AS TIMESTAMP) AS `timestamp`",
+        "event_id AS `offset`",
+        # the events' times have no zone; they mean UTC whatever the session's zone is
+        "CAST(concat(CAST(ts AS STRING), ' UTC') AS TIMESTAMP) AS `timestamp`",
     ]
 
 
