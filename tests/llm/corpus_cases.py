@@ -1,3 +1,5 @@
+"""Fixtures of the corpus tests."""
+
 import pytest
 
 DOCUMENT = "doc_id bigint, text string, lang string, score string, hash bigint, doc string"

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from corpus_cases import documents, found  # noqa: F401
 
 from kilnstream.llm import bytetext, line_dedup, near_duplicates, repeated_bytes
 from kilnstream.llm.linking import Workbench, components

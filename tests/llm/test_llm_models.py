@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from corpus_cases import documents, found  # noqa: F401
 
 import corpus_pipeline
 from kilnstream.llm import bytetext, language_id, quotations, toxicity

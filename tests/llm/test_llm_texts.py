@@ -8,6 +8,7 @@ import re
 import public_tokenizers
 import pytest
 import tiktoken
+from corpus_cases import documents, found  # noqa: F401
 
 from kilnstream.llm import byte_bpe, decontamination, quality_rules, url_filters
 
