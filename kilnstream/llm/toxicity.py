@@ -11,7 +11,7 @@ documents of each class, of at most ``MOST_CHARS`` characters.  A toxic document
 need have only one toxic window, so after the first epoch only the window with the
 greatest logit of every document is learned from.
 
-* null or empty text, or one without words: one window of blanks, and its score;
+* null or empty text, or one without words: one window of blanks, learned as clean;
 * shorter texts than a window are filled up with blanks; long texts have as many
   windows as they need, the last one ending with the text;
 * a label that is null is not learned from; of several labels of an id the
@@ -38,6 +38,8 @@ WORD_ROWS, PIECE_ROWS = 1 << 14, 1 << 14
 PIECES = (3, 4)
 MOST_LABELLED, MOST_CHARS = 1200, 3000
 EPOCHS, BATCH, RATE, DECAY = 6, 48, 0.012, 1e-4
+#: Blank texts that are learned as clean beside the labelled ones.
+BLANKS = 16
 #: Windows that are scored in step.
 LANES = 2048
 FOLDS, HELD_OUT = 3, 1
@@ -167,7 +169,7 @@ class Network:
 
     def scores(self, logits: np.ndarray) -> np.ndarray:
         scaled = self.scale * logits.astype(np.float64) + self.shift
-        return 0.5 * (1 + np.tanh(0.5 * scaled))
+        return np.round(0.5 * (1 + np.tanh(0.5 * scaled)), 6)
 
     def gradients(self, words: Words, windows: np.ndarray, target: np.ndarray):
         """Gradients of the mean logistic loss over the windows."""
@@ -240,6 +242,7 @@ def packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int = 7) -> Network:
     """The network for texts with labels 0 and 1, both present."""
+    texts, toxic = texts + [""] * BLANKS, toxic + [0] * BLANKS
     random = np.random.default_rng(seed)
     network = new_network(random)
     weights = network.weights

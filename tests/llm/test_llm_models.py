@@ -189,11 +189,11 @@ def test_pipeline_stages(spark, tmp_path, toxic_rows):
     rng = random.Random(7)
     exam = prose("cc", 40, rng)
     repeated = prose("aa", 12, rng)
-    base = prose("bb", 300, rng)
+    base = "\n".join(prose("bb", 2, rng) for _ in range(150))  # lines too short to be removed
     rows = [(n, text, "aa", "s", len(text)) for n, text, _ in toxic_rows]
     rows += [(800, repeated + "\n" + prose("aa", 60, rng), "aa", "s", 1),
              (801, repeated + "\n" + prose("bb", 60, rng), "aa", "s", 1),
-             (802, base, "bb", "s", 1), (803, base + " ka", "bb", "s", 1),
+             (802, base, "bb", "s", 1), (803, base + "\nka", "bb", "s", 1),
              (804, prose("aa", 30, rng) + " " + exam, "cc", "s", 1), (805, None, None, None, None)]
     docs = spark.createDataFrame(
         rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
