@@ -50,6 +50,8 @@ LENGTH = 400
 GRAM = 128
 MOST_CLASSES = 10_000
 CHUNK = 1_000_000
+#: Classes, and documents with their spans, that a Python worker unfolds at once.
+STEP = 1000
 
 _FIRST, _LAST = np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F)
 HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -211,9 +213,15 @@ def suffix_spans(classes: DataFrame, length: int, keep: str, schema: T.StructTyp
             if held is not None:
                 table = pa.concat_tables([held, table]).combine_chunks()
             anchors = table["anchor"].to_numpy()
-            whole = int(np.flatnonzero(anchors == anchors[-1])[0])
-            yield from answer(table.slice(0, whole).combine_chunks())
-            held = table.slice(whole).combine_chunks()
+            begins = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1]))
+            low = 0
+            while low < begins[-1]:
+                # whole anchors, at least one and about STEP classes
+                high = int(begins[max(np.searchsorted(begins, low + STEP, "right") - 1,
+                                      np.searchsorted(begins, low) + 1)])
+                yield from answer(table.slice(low, high - low).combine_chunks())
+                low = high
+            held = table.slice(low).combine_chunks()
         if held is not None:
             yield from answer(held)
 
@@ -223,8 +231,9 @@ def suffix_spans(classes: DataFrame, length: int, keep: str, schema: T.StructTyp
 def counted_spans(classes: DataFrame, length: int, keep: str, schema: T.StructType) -> DataFrame:
     """The same for anchors of too many classes: every place by its fingerprint."""
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for low in range(0, whole.num_rows, STEP):
+                batch = whole.slice(low, STEP)
                 owner, place, prints = windows_of(pa.Table.from_batches([batch]), length)
                 rows = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([
@@ -314,7 +323,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, answer, schema: T.StructType)
     def hashed(batches):
         for batch in batches:
             texts = pa.RecordBatch.from_struct_array(batch["doc"])["text"]
-            for first, last, data, bounds in bytetext.chunks(texts):
+            for first, last, data, bounds in bytetext.chunks(texts, CHUNK):
                 hashes = text_hashes(data, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc"].slice(first, last - first), pa.array(hashes),
@@ -323,10 +332,12 @@ def with_spans(docs: DataFrame, spans: DataFrame, answer, schema: T.StructType)
                 )
 
     def run(batches):
-        for batch in batches:
-            lists = [[(s["start"], s["end"]) for s in found or []]
-                     for found in batch["spans"].to_pylist()]
-            yield answer(pa.RecordBatch.from_struct_array(batch["doc"]), lists)
+        for whole in batches:
+            for low in range(0, whole.num_rows, STEP):
+                batch = whole.slice(low, STEP)
+                lists = [[(s["start"], s["end"]) for s in found or []]
+                         for found in batch["spans"].to_pylist()]
+                yield answer(pa.RecordBatch.from_struct_array(batch["doc"]), lists)
 
     hashed_schema = T.StructType([*packed.schema.fields, T.StructField("text_hash", T.LongType()),
                                   T.StructField("maybe", T.BooleanType())])

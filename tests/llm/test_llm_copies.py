@@ -233,6 +233,12 @@ def test_repeated_bytes_equal_brute_force(
     assert found(result) == brute_bytes(overlapping, 30, keep)
 
 
+def test_small_steps_give_the_same(documents, found, overlapping, monkeypatch):
+    monkeypatch.setattr(repeated_bytes, "STEP", 3)
+    result = repeated_bytes.repeats(documents(overlapping, 1), 30, 8, "first", 6)
+    assert found(result) == brute_bytes(overlapping, 30, "first")
+
+
 def test_repeated_rows_and_columns_of_repeats(documents, found):
     rows = [(1, "é" * 250), (1, "é" * 250), (None, "z" * 10), (2, "tail " + "é" * 250)]
     docs = documents(rows)
