@@ -70,8 +70,8 @@ def copies():
                    (905, "one two"), (None, rows[0][1]), (906, rows[0][1]), (906, rows[0][1])]
 
 
-@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
-def test_near_duplicates_equal_brute_force(copies, documents, found, size, percent):
+@pytest.mark.parametrize("size, percent, k", [(3, 85, 192), (5, 80, 64)])
+def test_near_duplicates_equal_brute_force(copies, documents, found, size, percent, k):
     sets = [(i, shingles(text, size)) for i, text in copies if i is not None]
     groups = Groups({i for i, _ in sets})
     for n, (i, one) in enumerate(sets):
@@ -83,7 +83,7 @@ def test_near_duplicates_equal_brute_force(copies, documents, found, size, perce
         component = None if i is None else groups.find(i)
         expected.append((i, len(shingles(text, size)), component, i == component or i is None))
     docs = documents(copies)
-    assert found(near_duplicates.near_duplicates(docs, size, percent)) == sorted(
+    assert found(near_duplicates.near_duplicates(docs, size, percent, k)) == sorted(
         expected, key=repr)
     if size == 5:
         kept = near_duplicates.drop_near_duplicates(docs)
