@@ -179,6 +179,40 @@ def test_line_dedup_equals_brute_force(documents, found):
     assert line_dedup.dedup_lines(docs.where("false")).count() == 0
 
 
+def linked_share(documents, pairs):
+    """Share of the pairs (original, copy), alike by edit similarity alone, that are linked."""
+    alike = [(one, other) for one, other in pairs
+             if one != other and 100 * distance(one, other) <= 15 * max(len(one), len(other))]
+    rows = [(2 * n + side, line) for n, pair in enumerate(alike) for side, line in enumerate(pair)]
+    kept = {row["doc_id"]: row["text"]
+            for row in line_dedup.dedup_lines(documents(rows)).select("doc_id", "text").collect()}
+    assert all(kept[2 * n] == one for n, (one, _) in enumerate(alike))
+    return len(alike), sum(kept[2 * n + 1] == "" for n in range(len(alike))) / len(alike)
+
+
+def unlike_lines(n, sizes, short):
+    """Lines of distinct letters-only words; those that are ``short`` have 2 to 4 letters."""
+    def word():
+        return "".join(random.choice("abcdefghijklmnop")
+                       for _ in range(random.randint(*((2, 4) if short else (3, 10)))))
+    return [" ".join(word() for _ in range(random.choice(sizes))) for _ in range(n)]
+
+
+def one_letter(line):
+    at = random.choice([n for n, char in enumerate(line) if char != " "])
+    return line[:at] + "z" + line[at + 1:]
+
+
+def test_lines_of_short_words_have_near_copies(documents):
+    random.seed(11)
+    lines = unlike_lines(80, [8, 12, 20], short=True) + unlike_lines(40, [5, 6, 7], short=False)
+    count, share = linked_share(documents, [(line, one_letter(line)) for line in lines])
+    assert count == 120 and share >= 0.9
+    everywhere = line_dedup.dedup_lines(documents([(1, "a b c"), (2, "A  B, C"), (3, "a b")]))
+    assert {row["doc_id"]: row["text"] for row in everywhere.collect()} == {
+        1: "a b c", 2: "", 3: "a b"}
+
+
 def test_a_crowded_key_loses_no_neighbour(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HELD", 3)
     rows = [(7, n, n % 2) for n in range(40)] + [(8, 50, 0), (9, 60, 1), (9, 61, 255)]
