@@ -213,6 +213,26 @@ def test_lines_of_short_words_have_near_copies(documents):
         1: "a b c", 2: "", 3: "a b"}
 
 
+def test_line_dedup_finds_plain_near_copies(documents):
+    """One letter, one word, letters all over: against edit similarity alone."""
+    random.seed(12)
+
+    def without_word(line):
+        words = line.split(" ")
+        del words[random.randrange(len(words))]
+        return " ".join(words)
+
+    def some_letters(line):
+        for _ in range(max(1, len(line) // 25)):
+            line = one_letter(line)
+        return line
+
+    lines = unlike_lines(150, [12, 20, 45, 80], short=False)
+    for change, least in ((one_letter, 0.97), (without_word, 0.9), (some_letters, 0.9)):
+        count, share = linked_share(documents, [(line, change(line)) for line in lines])
+        assert count > 100 and share >= least, change.__name__
+
+
 def test_a_crowded_key_loses_no_neighbour(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HELD", 3)
     rows = [(7, n, n % 2) for n in range(40)] + [(8, 50, 0), (9, 60, 1), (9, 61, 255)]
