@@ -92,6 +92,23 @@ def test_near_duplicates_equal_brute_force(copies, documents, found, size, perce
             [(row[0],) for row in expected if row[3]], key=repr)
 
 
+@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
+def test_truncated_copies_at_the_threshold_are_found(documents, size, percent):
+    """Each copy is its original without the end, just above the threshold."""
+    random.seed(percent)
+    rows = []
+    for n in range(120):
+        sets = 200 + 250 * n // 120
+        own = [f"t{n}w{at}" for at in range(sets + size - 1)]
+        cut = -(-sets * percent // 100) + size - 1
+        rows += [(2 * n, " ".join(own)), (2 * n + 1, " ".join(own[:cut]))]
+        one, other = (shingles(text, size) for _, text in rows[-2:])
+        assert 100 * len(one & other) >= percent * len(one | other)
+    result = near_duplicates.near_duplicates(documents(rows), size, percent, 192).collect()
+    assert {row["doc_id"]: row["component_id"] for row in result} == {
+        i: i - i % 2 for i, _ in rows}
+
+
 def test_near_duplicates_of_nothing(documents):
     empty = documents([(1, "")])
     assert near_duplicates.near_duplicates(empty.where("false")).count() == 0
