@@ -7,7 +7,8 @@ their states gives one vector and one logit a window.  All overlapping windows o
 a whole text are scored, and the text's score is the calibrated greatest logit.
 
 The fit takes a bounded, documented sample: about ``MOST_LABELLED`` labelled
-documents of each class, of at most ``MOST_CHARS`` characters.  A toxic document
+documents of each class that have a text, however long: of more than ``MOST_CHARS``
+characters, so many in pieces spread evenly over the whole text.  A toxic document
 need have only one toxic window, so after the first epoch only the window with the
 greatest logit of every document is learned from.
 
@@ -16,7 +17,7 @@ greatest logit of every document is learned from.
   windows as they need, the last one ending with the text;
 * a label that is null is not learned from; of several labels of an id the
   greatest counts; a null id is not held out and has no label;
-* without labels of both classes every score is the share of toxic labels (0
+* without labels of both classes on texts that are not held out, every score is the share of toxic labels (0
   without any);
 * repeated rows are scored alike; an empty table gives an empty one; other
   columns are not looked at, and are kept by ``keep_clean``.
@@ -36,7 +37,9 @@ WINDOW, STRIDE = 32, 16
 STATE, EMBEDDING = 8, 12
 WORD_ROWS, PIECE_ROWS = 1 << 14, 1 << 14
 PIECES = (3, 4)
-MOST_LABELLED, MOST_CHARS = 1200, 3000
+MOST_LABELLED, MOST_CHARS = 1200, 12_000
+#: Characters of a piece of a longer text.
+PIECE = 300
 EPOCHS, BATCH, RATE, DECAY = 6, 48, 0.012, 1e-4
 #: Blank texts that are learned as clean beside the labelled ones.
 BLANKS = 16
@@ -287,13 +290,26 @@ def calibrate(network: Network, logits: np.ndarray, labels: np.ndarray) -> None:
     network.scale, network.shift = max(float(scale), 0.05), float(shift)
 
 
+def spread(text: str, most_chars: int):
+    """The text, or pieces of whole words from all over it if it is longer."""
+    last = max(1, most_chars // PIECE - 1)
+    return F.expr(rf"""
+        if(length({text}) <= {most_chars}, {text}, array_join(transform(sequence(0L, {last}L),
+            i -> regexp_replace(
+                substring({text}, 1 + cast(i * (length({text}) - {PIECE}) div {last} AS int), {PIECE}),
+                r'^\S+\s|\s\S+$', '')), ' '))
+    """)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, most: int, most_chars: int
 ) -> tuple[list[str], list[int]]:
-    """Texts and labels of the sample; the ids are chosen from the labels alone."""
+    """Texts and labels of the sample; the ids are chosen among labels that have a text."""
+    texts = docs.where(F.length("text") > 0).select("doc_id", "text")
     usable = (
         labels.where((samples.remainder(FOLDS) != HELD_OUT) & F.col("toxic").isin(0, 1))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+        .join(texts.select("doc_id"), "doc_id", "left_semi")
     )
     shares = {row[0]: min(1.0, most / row[1])
               for row in usable.groupBy("toxic").count().collect()}
@@ -306,8 +322,8 @@ def labelled_sample(
         [tuple(row) for row in ids.collect()], usable.schema
     )
     rows = (
-        docs.select("doc_id", "text").where(F.length("text").between(1, most_chars))
-        .join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+        texts.join(F.broadcast(chosen), "doc_id")
+        .select("doc_id", spread("text", most_chars).alias("text"), "toxic").groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
     )
     rows.sort(key=lambda row: (str(row["doc_id"]), row["text"]))

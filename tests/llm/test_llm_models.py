@@ -153,6 +153,24 @@ def test_toxicity(spark, documents, toxic_rows):
     assert toxicity.learn(docs, labels.where("false")) == 0.0
 
 
+def test_toxicity_learns_from_long_texts(spark, documents, toxic_rows):
+    """One class has long texts only; then both have."""
+    rng = random.Random(9)
+    tail = prose("aa", 900, rng)
+    labels = spark.createDataFrame([(n, 0, toxic) for n, _, toxic in toxic_rows],
+                                   "doc_id bigint, quality int, toxic int")
+    for longer in ({1}, {0, 1}):
+        docs = documents([(n, f"{text} {tail}" if toxic in longer else text)
+                          for n, text, toxic in toxic_rows])
+        texts, toxic = toxicity.labelled_sample(docs, labels, 1200, 3000)
+        assert len(texts) == sum(zlib.crc32(str(n).encode()) % 3 != 1 for n, *_ in toxic_rows)
+        assert set(toxic) == {0, 1} and all(0 < len(text) <= 3100 for text in texts)
+        assert isinstance(toxicity.learn(docs, labels), toxicity.Network)
+    ends = documents([(0, "first " + "x " * 50_000 + "last")])
+    text = ends.select(toxicity.spread("text", 3000).alias("text")).first()["text"]
+    assert len(text) > 2500 and set(text.split()) <= {"first", "x", "last"}
+
+
 def test_quotations(spark, found):
     rows = [
         ("c", 0, "a", "First line.\nSecond line!"),
