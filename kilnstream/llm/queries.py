@@ -3,6 +3,7 @@
 from kilnstream.llm import (
     byte_bpe,
     decontamination,
+    fill_in_middle,
     language_id,
     line_dedup,
     near_duplicates,
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_repeated_bytes": repeated_bytes.op8_repeated_bytes,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_url_filters": url_filters.op10_url_filters,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
 }
 ORACLES = {
     "op1_quotation_linking": quotations.ORACLE,
     "op2_decontamination": decontamination.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op10_url_filters": url_filters.ORACLE,
+    "op11_fill_in_middle": fill_in_middle.ORACLE,
 }
