@@ -4,6 +4,8 @@ from kilnstream.llm import (
     byte_bpe,
     decontamination,
     fill_in_middle,
+    hard_negatives,
+    jaccard_join,
     language_id,
     line_dedup,
     near_duplicates,
@@ -26,6 +28,8 @@ QUERIES = {
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_url_filters": url_filters.op10_url_filters,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_jaccard_join": jaccard_join.op13_jaccard_join,
 }
 ORACLES = {
     "op1_quotation_linking": quotations.ORACLE,
@@ -33,4 +37,6 @@ ORACLES = {
     "op4_quality_rules": quality_rules.ORACLE,
     "op10_url_filters": url_filters.ORACLE,
     "op11_fill_in_middle": fill_in_middle.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_jaccard_join": jaccard_join.ORACLE,
 }
