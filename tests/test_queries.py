@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as entry
 
 SMOKE = entry.SMOKE_DATA
-TABLES = ["events", "part", "documents", "benchmark", "pages", "conversations", "labels"]
+TABLES = ["events", "part", "documents", "benchmark", "pages", "conversations", "labels",
+          "embeddings"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE), reason="no test data")
 
