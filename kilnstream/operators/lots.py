@@ -2,18 +2,24 @@
 
 One lot may hold a large share of all messages, so none of these brings a whole
 lot into one task.  Every lot, whatever its size, is cut by one rule: what one
-source partition holds of it in one range of ``RANGE`` offsets goes to one task,
-and there every ``chunk`` messages are a piece.  Offsets are unique in a source
-partition, so a task reads a bounded part of a lot.  What outside code makes of the
-pieces is put together again per lot.
+source partition holds of it in one range of ``RANGE`` offsets is a part, which
+goes to one task, and there every ``chunk`` messages are a piece.  Offsets are
+unique in a source partition, so a part is bounded.  Parts are counted and dealt to
+tasks by their weight.  What outside code makes of the pieces is put together again
+per lot.
 """
 
+import heapq
 import subprocess
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from kilnstream import schemas
 from kilnstream.functions import variants
@@ -26,8 +32,15 @@ from kilnstream.sources.shared import shared_folder
 
 CHUNK = 100_000
 RANGE = 1_000_000
-# Ranges whose results are put together before those of the whole lot are.
+# Results that are put together at a time.
 RANGE_BLOCK = 64
+# Messages that a task takes, and tasks for each core of a small input.
+TASK_ROWS = 200_000
+TASKS_PER_CORE = 2
+# A part with this share of a task's messages, or more, is placed by its weight.
+HEAVY = 4
+# Rows of results given out at a time.
+RESULT_ROWS = 10_000
 
 PART = ["lot_no", "topic", "partition", "offset_range"]
 PIECE = [*PART, "piece"]
@@ -49,46 +62,162 @@ def lot_payloads(messages: DataFrame) -> DataFrame:
     return messages.select("lot_no", *schemas.MESSAGE_KEY, "timestamp", "payload")
 
 
+def packed(weights: list[tuple[int, int]], bins: int) -> dict[int, int]:
+    """The bin of every (key, weight): the heaviest first, each to the lightest bin so far."""
+    filled = [(0, number) for number in range(bins)]
+    found = {}
+    for key, weight in sorted(weights, key=lambda row: (-row[1], row[0])):
+        held, number = heapq.heappop(filled)
+        found[key] = number
+        heapq.heappush(filled, (held + weight, number))
+    return found
+
+
+def _placed(rows: DataFrame, key: Column, task_rows: int) -> tuple[DataFrame, int]:
+    """Rows with ``_task``, where all rows of a key are, and the number of tasks.
+
+    Tasks are as many as the rows need, and enough for all cores.  Keys that would
+    take a good share of a task are packed by weight on the driver: there are at
+    most ``HEAVY`` of them for each task.  The many light ones are dealt by hash.
+    """
+    spark = rows.sparkSession
+    keyed = rows.withColumn("_key", key)
+    counted = keyed.groupBy("_key").agg(F.count("*").alias("n")).persist()
+    try:
+        total, n_keys = counted.agg(F.sum("n"), F.count("*")).first()
+        total = total or 0
+        cores = spark.sparkContext.defaultParallelism
+        tasks = max(1, min(n_keys, max(-(-total // task_rows), TASKS_PER_CORE * cores)))
+        heavy = counted.where(F.col("n") * tasks * HEAVY >= total).collect() if n_keys else []
+    finally:
+        counted.unpersist()
+    weight = sum(row["n"] for row in heavy)
+    bins = min(len(heavy), max(1, round(tasks * weight / total))) if heavy else 0
+    rest = max(1, tasks - bins) if len(heavy) < n_keys else 0
+    where = packed([(row["_key"], row["n"]) for row in heavy], bins) if bins else {}
+    places = spark.createDataFrame(list(where.items()), "_key bigint, _heavy int")
+    hashed = F.pmod(F.col("_key"), F.lit(max(rest, 1))) + bins
+    return (
+        keyed.join(F.broadcast(places), "_key", "left")
+        .withColumn("_task", F.coalesce("_heavy", hashed.cast("int"))).drop("_key", "_heavy"),
+        max(bins + rest, 1),
+    )
+
+
 def _parts(messages: DataFrame) -> DataFrame:
     """Payloads by lot and offset range, each part in one task and in arrival order."""
+    rows = lot_payloads(messages).withColumn("offset_range", F.expr(f"`offset` div {RANGE}"))
+    placed, tasks = _placed(rows, F.xxhash64(*PART), TASK_ROWS)
     return (
-        lot_payloads(messages).withColumn("offset_range", F.expr(f"`offset` div {RANGE}"))
-        .repartition(*PART).sortWithinPartitions(*PART, "offset")
+        placed.repartitionById(tasks, "_task").drop("_task")
+        .sortWithinPartitions(*PART, "offset")
     )
 
 
-def _key(rows: pd.DataFrame) -> tuple:
-    """Part of the rows; missing positions are equal to each other."""
-    return tuple(None if pd.isna(value) else value for value in rows[PART].iloc[0])
+def _starts(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    """Rows whose key differs from the row before; missing values are equal to each other."""
+    changed = np.zeros(batch.num_rows, bool)
+    changed[:1] = True
+    for name in names:
+        codes = batch.column(name).dictionary_encode(null_encoding="encode")
+        changed[1:] |= np.diff(codes.indices.to_numpy(zero_copy_only=False)) != 0
+    return np.flatnonzero(changed)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], names: list[str]):
+    """Key and rows of each run of equal keys in a batch; a run may go on in the next one."""
+    for batch in batches:
+        starts = _starts(batch, names).tolist()
+        frame = batch.to_pandas()
+        keys = zip(*(batch.column(name).take(pa.array(starts, pa.int64())).to_pylist()
+                     for name in names), strict=True)
+        for key, first, last in zip(keys, starts, [*starts[1:], batch.num_rows], strict=True):
+            yield key, frame.iloc[first:last]
+
+
+class _Results:
+    """Results of outside code under their keys, given out as Arrow batches."""
+
+    def __init__(self, names: list[str], schema: pa.Schema):
+        self.names, self.schema, self.keys, self.frames, self.rows = names, schema, [], [], 0
+
+    def add(self, key: tuple, frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
+        self.keys.append(key)
+        self.frames.append(frame)
+        self.rows += len(frame)
+        if self.rows >= RESULT_ROWS or len(self.frames) >= RESULT_ROWS:
+            yield from self.given()
+
+    def given(self) -> Iterator[pa.RecordBatch]:
+        if self.frames:
+            sizes = np.array([len(frame) for frame in self.frames])
+            number = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            own = pd.concat(self.frames, ignore_index=True)
+            repeated = np.repeat(np.arange(len(sizes)), sizes)
+            columns = []
+            for field in self.schema:
+                if field.name == ROW:
+                    columns.append(pa.array(number, field.type))
+                elif field.name in self.names:
+                    place = self.names.index(field.name)
+                    values = pa.array([key[place] for key in self.keys], field.type)
+                    columns.append(values.take(pa.array(repeated)))
+                else:
+                    columns.append(pa.Array.from_pandas(own[field.name], type=field.type))
+            yield pa.RecordBatch.from_arrays(columns, schema=self.schema)
+        self.keys, self.frames, self.rows = [], [], 0
 
 
-def _by_piece(messages: DataFrame, function: PieceFunction, schema: str, chunk: int) -> DataFrame:
+def _by_piece(
+    messages: DataFrame, function: PieceFunction, schema: str, chunk: int,
+    combine: PieceFunction | None = None,
+) -> DataFrame:
+    """What ``function`` makes of every piece, or ``combine`` of the pieces of every part."""
     if chunk < 1:
         raise ValueError("chunk must be positive")
-
-    def made(rows: pd.DataFrame, piece: int) -> pd.DataFrame:
-        head = {name: rows[name].iloc[0] for name in PART}
-        out = function(rows.assign(piece=piece))
-        return out.assign(**head, piece=piece, **{ROW: range(len(out))})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, key, piece = None, None, 0
-        for batch in batches:
-            for _, rows in batch.groupby(PART, sort=False, dropna=False):
-                if held is not None and _key(rows) == key:
-                    rows = pd.concat([held, rows])
-                else:
-                    if held is not None:
-                        yield made(held.reset_index(drop=True), piece)
-                    key, piece = _key(rows), 0
-                while len(rows) > chunk:
-                    yield made(rows.iloc[:chunk].reset_index(drop=True), piece)
-                    rows, piece = rows.iloc[chunk:], piece + 1
-                held = rows
-        if held is not None:
-            yield made(held.reset_index(drop=True), piece)
-
-    return _parts(messages).mapInPandas(run, f"{PIECE_SCHEMA}, {ROW} bigint, {schema}")
+    kept = f"{PIECE_SCHEMA}, {ROW} bigint, {schema}"
+    parts = _parts(messages)
+    arrow = to_arrow_schema(StructType.fromDDL(kept))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        results = _Results(PIECE, arrow)
+        held, key, piece, made = None, None, 0, []
+
+        def call(rows: pd.DataFrame):
+            nonlocal piece
+            out = function(rows.reset_index(drop=True).assign(piece=piece))
+            if combine is None:
+                yield from results.add((*key, piece), out)
+            else:
+                made.append(out)
+                if len(made) >= RANGE_BLOCK:
+                    made[:] = [combine(pd.concat(made, ignore_index=True))]
+            piece += 1
+
+        def close():
+            nonlocal held, piece
+            if held is not None:
+                yield from call(held)
+            if made:
+                whole = made[0] if len(made) == 1 else combine(pd.concat(made, ignore_index=True))
+                yield from results.add((*key, 0), whole)
+                made.clear()
+            held, piece = None, 0
+
+        for own, rows in _runs(batches, PART):
+            if own != key:
+                yield from close()
+                key = own
+            if held is not None:
+                rows = pd.concat([held, rows])
+            while len(rows) > chunk:
+                yield from call(rows.iloc[:chunk])
+                rows = rows.iloc[chunk:]
+            held = rows
+        yield from close()
+        yield from results.given()
+
+    return parts.mapInArrow(run, kept)
 
 
 def apply_to_lots(
@@ -103,22 +232,38 @@ def apply_to_lots(
     ``function`` gets a piece (``lot_no, topic, partition, offset, timestamp, payload``
     and more), messages in arrival order, and returns rows of ``schema``.  ``combine``
     gets such rows of neighbouring pieces, or its own results for them, in order, and
-    returns rows of ``schema`` again; few, because those of a block of ranges and then
-    those of a lot meet in one task.  A lot in several source
+    returns rows of ``schema`` again; few, because a lot's meet in one task, where they
+    are put together as they come in.  A lot in several source
     partitions is ordered by topic and partition, missing ones first.
     """
-    kept = f"{PIECE_SCHEMA}, {ROW} bigint, {schema}"
-
-    def together(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([*PIECE[1:], ROW], na_position="first", kind="stable")
-        made = combine(rows.drop(columns=[*PIECE, ROW]).reset_index(drop=True))
-        head = {name: rows[name].iloc[0] for name in PIECE}
-        return made.assign(**head, **{ROW: range(len(made))})
-
-    pieces = _by_piece(messages, function, schema, chunk)
-    block = F.expr(f"offset_range div {RANGE_BLOCK}")
-    blocks = pieces.groupBy("lot_no", "topic", "partition", block).applyInPandas(together, kept)
-    return blocks.groupBy("lot_no").applyInPandas(together, kept).drop(*PIECE[1:], ROW)
+    pieces = _by_piece(messages, function, schema, chunk, combine)
+    made = f"lot_no string, {schema}"
+    arrow = to_arrow_schema(StructType.fromDDL(made))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        results = _Results(["lot_no"], arrow)
+        held, key = [], None
+
+        def close():
+            if held:
+                yield from results.add(key, combine(pd.concat(held, ignore_index=True)))
+                held.clear()
+
+        for own, rows in _runs(batches, ["lot_no"]):
+            if own != key:
+                yield from close()
+                key = own
+            held.append(rows.drop(columns=[*PIECE, ROW]))
+            if sum(map(len, held)) >= RANGE_BLOCK:
+                held[:] = [combine(pd.concat(held, ignore_index=True))]
+        yield from close()
+        yield from results.given()
+
+    tasks = TASKS_PER_CORE * messages.sparkSession.sparkContext.defaultParallelism
+    tasks = max(tasks, int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (
+        pieces.repartition(tasks, "lot_no").sortWithinPartitions(*PIECE, ROW).mapInArrow(run, made)
+    )
 
 
 def _output(command: list[str], text: str, seconds: float | None) -> tuple[list[str], str | None]:

@@ -2,6 +2,7 @@ from collections import defaultdict
 
 import pandas as pd
 from conftest import SITE, document, message_rows, tag
+from pyspark.sql import functions as F
 
 from kilnstream.operators import lots, messages
 
@@ -138,3 +139,27 @@ def test_counts(messages_of):
     assert {r["asset_id"]: r["n"] for r in lots.count_by(docs, "asset_id").collect()} == {
         "Machine001": 800
     }
+
+
+def test_lots_are_dealt_to_many_tasks_by_weight(messages_of):
+    rows = message_rows([document(lot=f"A{i % 40}____001") for i in range(900)])
+    rows += message_rows([document(lot="HOT__001") for _ in range(600)], partition=1)
+    parts = lots._parts(accepted(messages_of(rows)))
+    counts = [r["count"] for r in
+              parts.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert parts.rdd.getNumPartitions() == 8 and len(counts) >= 6
+    assert sorted(counts)[-1] == 600 and sorted(counts)[-2] < 400
+
+
+def test_heavy_parts_are_packed_evenly():
+    weights = [(key, weight) for key, weight in enumerate([90, 50, 40, 30, 30, 30, 20, 10])]
+    found = lots.packed(weights, 3)
+    held = [sum(weight for key, weight in weights if found[key] == task) for task in range(3)]
+    assert sorted(held) == [100, 100, 100]
+    assert lots.packed([], 1) == {}
+
+
+def test_no_messages(messages_of):
+    none = accepted(messages_of(message_rows([document()]))).where("false")
+    assert lots.apply_to_lots(none, *piece_and_lot()).count() == 0
+    assert lots.run_on_lots(none, ["cat"]).count() == 0
