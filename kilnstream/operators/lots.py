@@ -342,6 +342,13 @@ def chart_series(
     An alias shows the tag that owns its wide column.  Combined before the shuffle,
     so a large lot costs its own tasks only.
     """
+    return chart_partials(messages, masters, widen_ints).drop("last_order")
+
+
+def chart_partials(
+    messages: DataFrame, masters: Masters, widen_ints: bool = False
+) -> DataFrame:
+    """Chart series of some of a lot's messages, with the arrival of the last value."""
     owners = masters.tags.narrowed(alias_tags(masters.tags.frame))
     pairs = document_tags(with_minute(messages), owners)
     numbered = once(pairs, number=variants.double_value("value", "value_schema", widen_ints))
@@ -351,4 +358,13 @@ def chart_series(
         F.min("number").alias("min_val"),
         F.max("number").alias("max_val"),
         F.max_by("number", F.struct(*schemas.ARRIVAL)).alias("last_val"),
+        F.max(F.struct(*schemas.ARRIVAL)).alias("last_order"),
+    )
+
+
+def combined_charts(partials: DataFrame) -> DataFrame:
+    """The chart series of all messages from those of their batches."""
+    return partials.groupBy("lot_no", "minute", "alias").agg(
+        F.sum("n").alias("n"), F.min("min_val").alias("min_val"), F.max("max_val").alias("max_val"),
+        F.max_by("last_val", "last_order").alias("last_val"),
     )

@@ -17,6 +17,8 @@ ALARMS = "alarm_history"
 QUARANTINE = "quarantine"
 ISSUES = "issues"
 MASTER_ISSUES = "master_issues"
+CHARTS = "chart_series"
+LOT_LINES = "lot_lines"
 
 # Folder columns of each output table.
 PARTITIONS = {

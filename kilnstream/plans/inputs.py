@@ -42,14 +42,17 @@ def masters(spark: SparkSession, sf_dir: str) -> Masters:
     )
 
 
-def masters_with_info_max(spark: SparkSession, sf_dir: str, info_max: str) -> Masters:
-    """Masters whose info limits have another upper value."""
+def tags_with_info_max(spark: SparkSession, sf_dir: str, info_max: str) -> DataFrame:
     limit = fixed.LIMIT_COLUMNS[1]
-    tags = derived.tag_master(spark, sf_dir).withColumn(
+    return derived.tag_master(spark, sf_dir).withColumn(
         limit, F.when(F.col(limit).isNotNull(), F.lit(info_max))
     )
+
+
+def masters_with_info_max(spark: SparkSession, sf_dir: str, info_max: str) -> Masters:
+    """Masters whose info limits have another upper value."""
     return assets.load_masters(
-        derived.asset_master(spark, sf_dir), tags, derived.type_codes(spark), SITE, keep=True
+        derived.asset_master(spark, sf_dir), tags_with_info_max(spark, sf_dir, info_max), derived.type_codes(spark), SITE, keep=True
     )
 
 

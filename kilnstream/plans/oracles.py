@@ -251,6 +251,18 @@ def _over_messages() -> dict[str, str]:
         "stream_status_job": STATUS_UPDATE,
         "stream_status_late": STATUS_UPDATE,
         "stream_dim_refresh": REFRESH,
+        "replay_gaps": "SELECT event_id, CAST(1 AS BIGINT) AS n, CAST(event_id // 100 % 3 = 1 "
+                       "OR event_id % 7 = 2 AS BIGINT) AS batch_id FROM msg",
+        "status_versions": STATUS_UPDATE,
+        "stream_chart_series": CHART.format(of=""),
+        "stream_lot_lines": "SELECT event_id % 3 AS batch_id, lot_no, row_number() OVER "
+                            "(PARTITION BY event_id % 3, lot_no ORDER BY user_id % 3, event_id) "
+                            f"- 1 AS line_no, {REPAIRED} AS line, CAST(NULL AS VARCHAR) AS error "
+                            "FROM msg",
+        "stream_dim_replay": REFRESH,
+        "modelled_filter_hot_key": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'Machine006' "
+                                   "ELSE asset_id END AS asset_id FROM msg WHERE event_id % 3 = 0 "
+                                   "OR user_id % 20 % 4 <> 3",
     }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from kilnstream.operators.lookup import join_lookup, measure
+from kilnstream.sinks import ledger
 
 COMMITS = "commits"
 COMMIT_SCHEMA = (
@@ -45,13 +45,17 @@ class BatchTables:
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
 
     def commit(self, messages: DataFrame, batch_id: int) -> None:
-        """Record the offsets of a written batch: one row per source partition."""
-        covered = messages.groupBy("topic", "partition").agg(
-            F.min("offset").alias("min_offset"),
-            F.max("offset").alias("max_offset"),
-            F.count("offset").alias("n"),
-        )
-        self.write(covered, COMMITS, batch_id)
+        """Record the offsets of a written batch, by runs of consecutive ones.
+
+        A source partition of which no message has an offset has a row without them.
+        """
+        covered = ledger.covered(messages).withColumn(
+            "n", F.expr("max_offset - min_offset + 1"))
+        none = F.lit(None).cast("bigint")
+        without = messages.groupBy(*ledger.SOURCE).agg(F.count("offset").alias("n")) \
+            .where("n = 0").select(*ledger.SOURCE, none.alias("min_offset"),
+                                   none.alias("max_offset"), "n")
+        self.write(covered.unionByName(without).coalesce(1), COMMITS, batch_id)
 
     def commits(self, spark: SparkSession) -> DataFrame | None:
         """Committed offsets by batch, or None before the first commit."""
@@ -92,17 +96,6 @@ class BatchTables:
 
 
 def drop_replayed(messages: DataFrame, tables: BatchTables) -> DataFrame:
-    """Messages beyond the committed offsets of their source partition.
-
-    A source partition is read in offset order, so one number per partition
-    tells what is already written.
-    """
+    """Messages that no committed batch holds, whatever the order they came in."""
     commits = tables.commits(messages.sparkSession)
-    if commits is None:
-        return messages
-    [done] = measure(
-        commits.groupBy("topic", "partition").agg(F.max("max_offset").alias("_done"))
-    )
-    marked = join_lookup(messages, done, ["topic", "partition"], "left")
-    new = F.col("_done").isNull() | (F.col("offset") > F.col("_done"))
-    return marked.where(new).select(*messages.columns)
+    return messages if commits is None else ledger.outside(messages, ledger.merged(commits))

@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kilnstream.operators import messages, status
+from kilnstream.operators import lots, messages, status
 from kilnstream.operators.assets import Masters
 from kilnstream.plans import batch as plans
 from kilnstream.sinks.relational import RelationalTargets
 from kilnstream.sinks.tables import BatchTables
+from kilnstream.sinks.versions import EVERY, RecordedMasters, VersionedTable
 
 MASTER = "asset_master"
 LATEST = "latest_status"
 INITIAL_VERSION = -1
 
-LoadMasters = Callable[[SparkSession], Masters]
+LoadMasters = Callable[[SparkSession], Masters] | RecordedMasters
 BatchHook = Callable[[DataFrame, int], None]
 
 
@@ -54,6 +55,13 @@ def _start(
     return writer.start()
 
 
+def _masters(load_masters: LoadMasters, spark: SparkSession, batch_id: int) -> Masters:
+    """The masters as they are now, or as they were when a recorded batch first ran."""
+    if isinstance(load_masters, RecordedMasters):
+        return load_masters.as_of(spark, batch_id)
+    return load_masters(spark)
+
+
 def _write_all(tables: BatchTables, frames: dict[str, DataFrame], batch_id: int) -> None:
     """Write the outputs of a batch side by side; small ones do not wait for large ones."""
     with ThreadPoolExecutor(len(frames)) as pool:
@@ -75,21 +83,33 @@ def write_documents_batch(
     widen_ints: bool = False,
     after: BatchHook | None = None,
     relational: RelationalTargets | None = None,
+    charts: bool = False,
+    command: list[str] | None = None,
 ) -> None:
-    """One batch of the machine or the learning job, streamed or backfilled."""
+    """One batch of the machine or the learning job, streamed or backfilled.
+
+    ``charts`` adds the batch's share of the chart series, which ``read_charts`` puts
+    together; ``command`` runs on the batch's messages of every lot and its lines and
+    errors are stored too.
+    """
     parsed = messages.parse_machine_messages(rows, _now(), mode).persist()
     if parsed.isEmpty():
         parsed.unpersist()
         return
-    masters = load_masters(rows.sparkSession)
+    masters = _masters(load_masters, rows.sparkSession, batch_id)
     try:
         plan = plans.machine_plan if with_alarms else plans.learning_plan
         frames = plan(parsed, masters, widen_ints)
+        accepted = messages.accepted(parsed)
+        if charts:
+            frames[plans.CHARTS] = lots.chart_partials(accepted, masters, widen_ints)
+        if command is not None:
+            frames[plans.LOT_LINES] = lots.run_on_lots(accepted, command)
         _write_all(tables, frames, batch_id)
         if relational is not None:
             relational.write(frames, frames[plans.WIDE], masters, batch_id)
         if after is not None:
-            after(messages.accepted(parsed), batch_id)
+            after(accepted, batch_id)
         tables.commit(parsed, batch_id)
     finally:
         parsed.unpersist()
@@ -108,7 +128,8 @@ def machine_job(
 ) -> StreamingQuery:
     """Documents, cells, wide rows and alarms of machine messages.
 
-    ``after`` gets the accepted messages of every batch, for per-lot work.
+    ``after`` gets the accepted messages of every batch; ``charts`` and ``command`` store
+    chart data and the output of per-lot work.
     """
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         write_documents_batch(rows, batch_id, load_masters, tables, True, **options)
@@ -137,7 +158,7 @@ def start_asset_versions(assets: DataFrame, tables: BatchTables) -> None:
     """Write the version of the asset master that the status job starts from."""
     spark = assets.sparkSession
     first = assets.withColumn(status.ORDER_COLUMN, status.empty_order())
-    tables.write(first, MASTER, INITIAL_VERSION)
+    VersionedTable(tables, MASTER).write(first, INITIAL_VERSION)
     no_message = spark.range(1).select(
         F.lit(None).cast("string").alias("topic"),
         F.lit(None).cast("int").alias("partition"),
@@ -149,11 +170,17 @@ def start_asset_versions(assets: DataFrame, tables: BatchTables) -> None:
 def current_assets(
     spark: SparkSession, tables: BatchTables, before: int | None = None
 ) -> DataFrame:
-    """The newest committed version of the asset master, optionally before a batch."""
-    version = tables.last_batch(spark, before)
+    """The newest version of the asset master, optionally before a batch."""
+    versions = VersionedTable(tables, MASTER)
+    version = versions.newest(spark, before)
     if version is None:
         raise ValueError("no version of the asset master; call start_asset_versions first")
-    return tables.read_batch(spark, MASTER, version)
+    return versions.read(spark, version)
+
+
+def read_charts(spark: SparkSession, tables: BatchTables) -> DataFrame:
+    """The chart series of all committed batches."""
+    return lots.combined_charts(tables.read(spark, plans.CHARTS))
 
 
 def write_status_batch(
@@ -163,26 +190,30 @@ def write_status_batch(
     tables: BatchTables,
     mode: str = messages.QUARANTINE,
     relational: RelationalTargets | None = None,
+    every: int = EVERY,
 ) -> None:
-    """One batch of the status job: the next version of the asset master."""
+    """One batch of the status job: the next version of the asset master.
+
+    Only rows that change are written; every ``every`` versions a whole one is.
+    """
     spark = rows.sparkSession
     parsed = messages.parse_status_messages(rows, mode).persist()
     if parsed.isEmpty():
         parsed.unpersist()
         return
-    masters = load_masters(spark)
+    masters = _masters(load_masters, spark, batch_id)
     try:
         before = current_assets(spark, tables, before=batch_id)
         now = _now()
         updated, latest = plans.status_plan(parsed, masters, before, now)
         frames = {
-            MASTER: updated,
             plans.QUARANTINE: messages.quarantined(parsed),
             plans.ISSUES: status.status_issues(latest),
         }
         _write_all(tables, frames, batch_id)
         if relational is not None:
             relational.update(latest, masters.site, now)
+        VersionedTable(tables, MASTER, every).write(updated, batch_id)
         tables.commit(parsed, batch_id)
     finally:
         parsed.unpersist()
