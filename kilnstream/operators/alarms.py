@@ -20,13 +20,15 @@ _WORST_FIRST = (
 )
 
 
-def level_of(value: str) -> str:
+def level_of(value: str, of: str = "") -> str:
     """Level of the worst limit pair the value lies strictly outside of, or NULL.
 
-    NaN is outside of nothing; Spark would order it above every limit.
+    NaN is outside of nothing; Spark would order it above every limit.  ``of`` stands
+    before the limits' names.
     """
     branches = " ".join(
-        f"WHEN {value} < alarm_{name}_min_val OR {value} > alarm_{name}_max_val THEN '{code}'"
+        f"WHEN {value} < {of}alarm_{name}_min_val OR {value} > {of}alarm_{name}_max_val "
+        f"THEN '{code}'"
         for code, name in _WORST_FIRST
     )
     return f"CASE WHEN isnan({value}) THEN NULL {branches} END"
@@ -66,7 +68,12 @@ def with_minute(rows: DataFrame) -> DataFrame:
 
 def alarm_history(fired: DataFrame) -> DataFrame:
     """Alarm records; the message key makes them unique where the alarm id does not."""
-    return with_minute(fired).selectExpr(
+    return alarm_records(with_minute(fired))
+
+
+def alarm_records(timed: DataFrame) -> DataFrame:
+    """Alarm records of fired pairs that have their ``minute_key``."""
+    return timed.selectExpr(
         *map(text.name, schemas.MESSAGE_KEY),
         "concat(lot_no, '_', minute_key, key_part) AS alarm_id",
         "site_id", "asset_id", "tag_id",

@@ -9,12 +9,13 @@ elsewhere and whenever they were added.  The wide forms read each alias straight
 from the document, so nothing is shuffled.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnstream import fixed, schemas
 from kilnstream.functions import text, variants
 from kilnstream.functions.text import quoted
+from kilnstream.operators.alarms import alarm_records, level_of, with_minute
 from kilnstream.operators.assets import Masters, alias_tags
 from kilnstream.operators.lookup import (
     BROADCAST_LIMIT, FIELD_OVERHEAD, Lookup, join_lookup,
@@ -32,7 +33,11 @@ MAX_STEPWISE_COLUMNS = 32
 
 def cell_text(value: str, schema: str, double_tag: str, widen_ints: bool = False) -> str:
     """Cell of a value: NULL unless it is a DOUBLE, a STRING or a DATE_TIME."""
-    number = variants.double_value(value, schema, widen_ints)
+    return cell_of(variants.double_value(value, schema, widen_ints), value, schema, double_tag)
+
+
+def cell_of(number: str, value: str, schema: str, double_tag: str) -> str:
+    """Cell of a value whose number is known."""
     string = variants.string_value(value, schema)
     empty = f"{double_tag} AND {schema} = 'STRING' AND ({string}) = ''"
     return f"""CASE
@@ -56,6 +61,85 @@ def document_tags(
     return once(valued, value_schema=variants.schema_text("value"))
 
 
+def issue_of(value: str, schema: str, mapping_key: str) -> str:
+    return f"""CASE
+        WHEN {schema} IS NULL AND {mapping_key} IS NOT NULL THEN {quoted(KEY_MISSING)}
+        WHEN {variants.wide_int(value, schema)} THEN {quoted(NUMBER_TOO_WIDE)} END"""
+
+
+# What the outputs need of a tag, besides its key and its limits.
+TAG_FIELDS = ("site_id", "tag_id", "alias", "key_part")
+
+
+def typed_messages(messages: DataFrame, masters: Masters, widen_ints: bool = False) -> DataFrame:
+    """One row per message of a modelled asset with tags: ``typed``, its tags' values.
+
+    Every value is looked up and typed once, whatever the outputs: ``typed`` holds for each
+    tag its cell, number, alarm level and issue, and whether the tag owns its alias.  The
+    time of a message with an alarm is in ``minute_key``.
+    """
+    tags = masters.tags
+    by_alias = Window.partitionBy("asset_id", "alias").orderBy("tag_id", "mapping_key")
+    owner = F.col("alias").isNotNull() & (F.row_number().over(by_alias) == 1)
+    fields = [*TAG_FIELDS, "mapping_key", "double_tag", *fixed.LIMIT_COLUMNS, "owner"]
+    by_asset = tags.frame.withColumn("owner", owner).groupBy("asset_id").agg(
+        F.collect_list(F.struct(*fields)).alias("asset_tags"))
+    rows = messages.select(*schemas.MESSAGE_KEY, "timestamp", "asset_id", "lot_no", "crt_dtm",
+                           "members")
+    rows = join_lookup(rows, tags.widened(by_asset, tags.n_bytes), ["asset_id"])
+    rows = once(rows, _values=(
+        f"transform(asset_tags, t -> struct(t, {variants.member('members', 't.mapping_key')} AS v))"
+    ))
+    rows = once(rows, _schemas=(
+        f"transform(_values, x -> struct(x.t, x.v, {variants.schema_text('x.v')} AS s))"))
+    rows = once(rows, _numbers=(
+        "transform(_schemas, x -> struct(x.t, x.v, x.s, "
+        f"{variants.double_value('x.v', 'x.s', widen_ints)} AS n))"))
+    kept = ", ".join(f"'{name}', x.t.{name}" for name in (*TAG_FIELDS, "owner"))
+    rows = once(rows, typed=(
+        f"transform(_numbers, x -> named_struct({kept}, 'number', x.n, "
+        f"'cell', {cell_of('x.n', 'x.v', 'x.s', 'x.t.double_tag')}, "
+        f"'level', {level_of('x.n', 'x.t.')}, "
+        f"'issue', {issue_of('x.v', 'x.s', 'x.t.mapping_key')}))"))
+    fired = "exists(typed, x -> x.level IS NOT NULL)"
+    rows = rows.drop("_values", "_schemas", "_numbers", "asset_tags") \
+        .withColumn("members", F.expr(f"IF({fired}, members, NULL)"))
+    return with_minute(rows).drop("members")
+
+
+def _of_typed(typed: DataFrame, condition: str = "true") -> DataFrame:
+    """One row per message and typed tag that meets the condition."""
+    own = F.explode(F.expr(f"filter(typed, x -> {condition})")).alias("x")
+    return typed.select(*[name for name in typed.columns if name != "typed"], own) \
+        .select("*", "x.*").drop("x")
+
+
+def cells_of(typed: DataFrame) -> DataFrame:
+    """Long form: the cell of every message and tag."""
+    return _of_typed(typed).select(*schemas.MESSAGE_KEY, "asset_id", "tag_id", "alias", "cell")
+
+
+def issues_of(typed: DataFrame) -> DataFrame:
+    """Messages that lack a key their tags ask for, or hold a number that is no DOUBLE for sure."""
+    return _of_typed(typed, "x.issue IS NOT NULL").select(
+        *schemas.MESSAGE_KEY, "asset_id", "tag_id", "issue")
+
+
+def wide_of(typed: DataFrame) -> DataFrame:
+    """Wide form: the cells of a message as a map by alias."""
+    return typed.selectExpr(
+        *map(text.name, [*schemas.MESSAGE_KEY, "asset_id"]),
+        "map_from_entries(transform(filter(typed, x -> x.owner), x -> struct(x.alias, x.cell))) "
+        "AS cells",
+    ).where("size(cells) > 0")
+
+
+def alarms_of(typed: DataFrame) -> DataFrame:
+    """Alarm records."""
+    fired = _of_typed(typed, "x.level IS NOT NULL")
+    return alarm_records(fired.withColumnsRenamed({"number": "alarm_val", "level": "alarm_level_cd"}))
+
+
 def typed_cells(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
     """Long form: the cell of every message and tag."""
     return once(pairs, cell=cell_text("value", "value_schema", "double_tag", widen_ints))
@@ -63,9 +147,7 @@ def typed_cells(pairs: DataFrame, widen_ints: bool = False) -> DataFrame:
 
 def cell_issues(pairs: DataFrame) -> DataFrame:
     """Messages that lack a key their tags ask for, or hold a number that is no DOUBLE for sure."""
-    issue = f"""CASE
-        WHEN value_schema IS NULL AND mapping_key IS NOT NULL THEN {quoted(KEY_MISSING)}
-        WHEN {variants.wide_int("value", "value_schema")} THEN {quoted(NUMBER_TOO_WIDE)} END"""
+    issue = issue_of("value", "value_schema", "mapping_key")
     return pairs.select(
         *schemas.MESSAGE_KEY, "asset_id", "tag_id", F.expr(issue).alias("issue")
     ).where("issue IS NOT NULL")

@@ -2,8 +2,9 @@
 
 Messages are keyed by machine, and one machine may send a third of them.  A
 master that fits the limit is broadcast, so the messages never move.  A larger
-one is joined by a salted shuffle: the messages of one machine spread over
-``SALTS`` partitions and the master row is repeated once per salt.
+one is joined by a shuffle.  Machines with more than one ``SALTS``-th of the messages
+are counted out first; their messages are spread by as many salts as their share asks
+for, and only their master rows are repeated, once per salt.
 """
 
 from dataclasses import dataclass
@@ -78,8 +79,38 @@ def join_lookup(
         raise ValueError(f"unsupported join {how!r}")
     if lookup.n_bytes <= limit:
         return rows.join(F.broadcast(lookup.frame), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*schemas.MESSAGE_KEY), F.lit(salts)))
-    copies = lookup.frame.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    hot = hot_keys(rows, keys, salts)
+    return _with_salts(rows, hot, keys).withColumn(
+        "_salt", F.pmod(F.xxhash64(*schemas.MESSAGE_KEY), F.col("_salts"))
+    ).drop("_salts").join(salted_copies(lookup.frame, hot, keys), [*keys, "_salt"], how) \
+        .drop("_salt")
+
+
+def hot_keys(rows: DataFrame, keys: list[str], salts: int) -> DataFrame:
+    """Keys with more than one ``salts``-th of the rows, fewer than ``salts`` of them.
+
+    ``_salts`` tells over how many places a key's rows should be spread.  Counts are
+    combined before the shuffle, so a hot key is no hot task here.
+    """
+    spark = rows.sparkSession
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n")).persist()
+    try:
+        total = counted.agg(F.sum("n")).first()[0] or 0
+        found = counted.where(F.col("n") * salts > total).collect()
+        schema = T.StructType([*counted.select(*keys).schema.fields,
+                               T.StructField("_salts", T.LongType())])
+    finally:
+        counted.unpersist()
+    return spark.createDataFrame(
+        [(*row[:-1], -(-row["n"] * salts // total)) for row in found], schema)
+
+
+def _with_salts(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    one = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("_salts", one)
+
+
+def salted_copies(master: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Master rows with ``_salt``: those of hot keys once per salt, the others once."""
+    salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))
+    return _with_salts(master, hot, keys).withColumn("_salt", salt).drop("_salts")

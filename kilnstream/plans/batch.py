@@ -35,19 +35,21 @@ def stored_documents(accepted: DataFrame) -> DataFrame:
 
 
 def learning_plan(
-    parsed: DataFrame, masters: Masters, widen_ints: bool = False
+    parsed: DataFrame, masters: Masters, widen_ints: bool = False, typed: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Documents, cells and wide rows (as maps) of parsed machine messages."""
+    """Documents, cells and wide rows (as maps) of parsed machine messages.
+
+    ``typed`` are their typed messages, if these are at hand.
+    """
     accepted = messages.accepted(parsed)
-    pairs = cells.document_tags(accepted, masters.tags)
+    if typed is None:
+        typed = cells.typed_messages(accepted, masters, widen_ints)
     return {
         DOCUMENTS: stored_documents(accepted),
-        WIDE: cells.wide_cells(accepted, masters, widen_ints),
-        CELLS: cells.typed_cells(pairs, widen_ints).select(
-            *schemas.MESSAGE_KEY, "asset_id", "tag_id", "alias", "cell"
-        ),
+        WIDE: cells.wide_of(typed),
+        CELLS: cells.cells_of(typed),
         QUARANTINE: messages.quarantined(parsed),
-        ISSUES: cells.cell_issues(pairs),
+        ISSUES: cells.issues_of(typed),
         MASTER_ISSUES: assets.master_issues(masters),
     }
 
@@ -61,11 +63,13 @@ def machine_alarms(
 
 
 def machine_plan(
-    parsed: DataFrame, masters: Masters, widen_ints: bool = False
+    parsed: DataFrame, masters: Masters, widen_ints: bool = False, typed: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The learning outputs and the alarms."""
-    frames = learning_plan(parsed, masters, widen_ints)
-    history = machine_alarms(messages.accepted(parsed), masters, widen_ints)
+    if typed is None:
+        typed = cells.typed_messages(messages.accepted(parsed), masters, widen_ints)
+    frames = learning_plan(parsed, masters, widen_ints, typed)
+    history = cells.alarms_of(typed)
     frames[ALARMS] = history
     frames[ISSUES] = frames[ISSUES].unionByName(alarms.alarm_issues(history))
     return frames

@@ -1,7 +1,7 @@
 """The three streaming jobs.
 
-Each micro-batch reads the masters once, parses its messages once, and writes
-its outputs under its batch id.  A job that dies runs its last batch again with
+Each micro-batch reads the masters once, parses its messages and types their values
+once, and writes its outputs under its batch id.  A job that dies runs its last batch again with
 the same id and replaces what it wrote, so every output holds each message once.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kilnstream.operators import lots, messages, status
+from kilnstream.operators import cells, lots, messages, status
 from kilnstream.operators.assets import Masters
 from kilnstream.plans import batch as plans
 from kilnstream.sinks.relational import RelationalTargets
@@ -97,10 +97,11 @@ def write_documents_batch(
         parsed.unpersist()
         return
     masters = _masters(load_masters, rows.sparkSession, batch_id)
+    accepted = messages.accepted(parsed)
+    typed = cells.typed_messages(accepted, masters, widen_ints).persist()
     try:
         plan = plans.machine_plan if with_alarms else plans.learning_plan
-        frames = plan(parsed, masters, widen_ints)
-        accepted = messages.accepted(parsed)
+        frames = plan(parsed, masters, widen_ints, typed)
         if charts:
             frames[plans.CHARTS] = lots.chart_partials(accepted, masters, widen_ints)
         if command is not None:
@@ -112,6 +113,7 @@ def write_documents_batch(
             after(accepted, batch_id)
         tables.commit(parsed, batch_id)
     finally:
+        typed.unpersist()
         parsed.unpersist()
         masters.release()
 

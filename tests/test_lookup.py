@@ -1,5 +1,7 @@
-from conftest import SITE, document, tag
+from conftest import SITE, document, message_rows, tag
+from pyspark.sql import functions as F
 
+from kilnstream import schemas
 from kilnstream.operators import assets, cells, lookup, messages
 from kilnstream.operators.lookup import Lookup
 
@@ -33,3 +35,21 @@ def test_large_masters_give_the_same_cells(masters_of, texts, monkeypatch):
     assert [(r["tag_id"], r["cell"]) for r in pairs.collect()] == [("T1", "1.5")]
     assert cells.wide_rows(rows, masters).first()["c7"] == "1.5"
     assert assets.modelled(rows, masters).count() == 1
+
+
+def test_only_master_rows_of_hot_machines_are_repeated(spark):
+    rows = message_rows(["{}"] * 900)
+    frame = spark.createDataFrame(rows, schemas.MESSAGE).withColumn(
+        "asset_id", F.expr("IF(`offset` % 3 = 0, 'HOT', concat('M', `offset` % 300))"))
+    hot = lookup.hot_keys(frame, ["asset_id"], 30)
+    assert [tuple(row) for row in hot.collect()] == [("HOT", 10)]
+    master = spark.createDataFrame([("HOT", 1)] + [(f"M{n}", n) for n in range(300)],
+                                   "asset_id string, n int")
+    copies = lookup.salted_copies(master, hot, ["asset_id"])
+    assert copies.count() == 310
+    assert sorted(r["_salt"] for r in copies.where("asset_id = 'HOT'").collect()) == list(range(10))
+    [measured] = lookup.measure(master)
+    for how, n in (("inner", 900), ("left_semi", 900), ("left_anti", 0)):
+        joined = lookup.join_lookup(frame, measured, ["asset_id"], how, limit=0, salts=30)
+        assert joined.count() == n
+    assert lookup.hot_keys(frame.where("false"), ["asset_id"], 30).count() == 0
