@@ -5,11 +5,10 @@ import random
 import re
 from collections import defaultdict
 
-import numpy as np
 import pytest
 from corpus_cases import documents, found  # noqa: F401
 
-from kilnstream.llm import bytetext, line_dedup, near_duplicates, repeated_bytes
+from kilnstream.llm import line_dedup, near_duplicates, repeated_bytes
 from kilnstream.llm.linking import Workbench, components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -120,16 +119,6 @@ def normal(line):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", digits)
 
 
-def simhash(words):
-    votes = [0] * 64
-    for word in words:
-        data = np.frombuffer(word.encode(), np.uint8)
-        value = int(bytetext.span_hashes(data, np.array([0]), np.array([len(data)]))[0])
-        for bit in range(64):
-            votes[bit] += 1 if value >> bit & 1 else -1
-    return sum(1 << bit for bit in range(64) if votes[bit] > 0)
-
-
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -149,32 +138,29 @@ def test_edit_distance():
 
 
 def brute_lines(rows):
-    where, sims = defaultdict(list), {}
+    """Places by normal form, and places that go, by edit similarity alone."""
+    where = defaultdict(list)
     for doc_id, text in rows:
         for n, line in enumerate((text or "").split("\n")):
             words = normal(line)
             if len(words) >= line_dedup.LEAST_WORDS:
                 where[" ".join(words)].append((doc_id, n))
-                long = [word for word in words if len(word.encode()) >= line_dedup.LONG_WORD]
-                sims[" ".join(words)] = simhash(long) if len(long) >= 8 else None
-    groups = Groups(sims)
-    forms = [form for form, sim in sims.items() if sim is not None]
+    groups, forms = Groups(where), list(where)
     for n, one in enumerate(forms):
         for other in forms[:n]:
-            if (sims[one] ^ sims[other]).bit_count() <= line_dedup.MOST_BITS and \
-                    100 * distance(one, other) <= (100 - line_dedup.SIMILAR_PERCENT) * max(
-                        len(one), len(other)):
+            most = (100 - line_dedup.SIMILAR_PERCENT) * max(len(one), len(other))
+            if 100 * abs(len(one) - len(other)) <= most \
+                    and 100 * line_dedup.edit_distance(one, other, most // 100) <= most:
                 groups.join(one, other)
     members = defaultdict(list)
     for form, places in where.items():
         members[groups.find(form)] += places
     gone = {place for places in members.values() for place in set(places) - {min(places)}}
-    return sorted((doc_id, None if text is None else "\n".join(
-        line for n, line in enumerate(text.split("\n")) if (doc_id, n) not in gone))
-        for doc_id, text in rows)
+    return where, gone
 
 
 def test_line_dedup_equals_brute_force(documents, found):
+    """Nothing goes that edit similarity keeps, repeats go, and nearly all near copies do."""
     random.seed(4)
     lines = []
     for n in range(60):
@@ -190,8 +176,15 @@ def test_line_dedup_equals_brute_force(documents, found):
     docs = documents(rows + [rows[0]])
     kept = line_dedup.dedup_lines(docs)
     assert kept.columns == docs.columns
-    expected = brute_lines(rows)
-    expected.append(next(row for row in expected if row[0] == 0))
+    where, gone = brute_lines(rows)
+    removed = {(row["doc_id"], n) for row in line_dedup.removals(
+        docs, line_dedup.SIMILAR_PERCENT, line_dedup.MOST_BITS).collect() for n in row["removed"]}
+    assert removed <= gone and len(removed) >= 0.9 * len(gone) > 100
+    for places in where.values():
+        assert set(places) - {min(places)} <= removed
+    expected = [(doc_id, None if text is None else "\n".join(
+        line for n, line in enumerate(text.split("\n")) if (doc_id, n) not in removed))
+        for doc_id, text in rows + [rows[0]]]
     assert found(kept.select("doc_id", "text")) == sorted(expected, key=repr)
     assert line_dedup.dedup_lines(docs.where("false")).count() == 0
 
