@@ -148,10 +148,21 @@ class RelationalTargets:
 
 
 def order_text() -> Column:
-    """Arrival order of a status as text that sorts the same way."""
+    """Arrival order of a status as text that sorts the same way.
+
+    The time is UTC whatever the session's zone: local time runs twice where clocks change.
+    """
     order = F.col(status.ORDER_COLUMN)
+    micros = F.unix_micros(order["timestamp"])
+    day_micros = 86_400_000_000
+    day = F.date_from_unix_date(F.floor(micros / day_micros).cast("int")).cast("string")
+    rest = F.pmod(micros, F.lit(day_micros))
+    second = F.floor(rest / 1_000_000)
+    clock = F.floor(second / 3600) * 10_000 + F.floor(second / 60) % 60 * 100 + second % 60
     return F.concat(
-        F.date_format(order["timestamp"], "yyyyMMddHHmmssSSSSSS"),
+        F.replace(day, F.lit("-"), F.lit("")),
+        F.lpad(clock.cast("string"), 6, "0"),
+        F.lpad((rest % 1_000_000).cast("string"), 6, "0"),
         F.lpad(order["partition"].cast("string"), 10, "0"),
         F.lpad(order["offset"].cast("string"), 20, "0"),
     )

@@ -6,7 +6,7 @@ from conftest import SITE, asset_frame, code_frame, document, message_rows, tag,
 
 from kilnstream.operators import lots, messages
 from kilnstream.plans import batch
-from kilnstream.sinks import ledger
+from kilnstream.sinks import compaction, ledger, relational
 from kilnstream.sinks.tables import BatchTables, drop_replayed
 from kilnstream.sinks.versions import RecordedMasters, VersionedTable
 from kilnstream.streaming import jobs
@@ -112,3 +112,48 @@ def test_chart_data_of_batches_is_put_together(spark, tmp_path, masters_of, mess
     assert sorted((r["batch_id"], r["line_no"]) for r in lines) == [
         (0, 0), (0, 1), (1, 0), (2, 0), (2, 1)]
     assert {r["error"] for r in lines} == {None}
+
+
+def test_compacted_batches_are_the_same_rows_in_fewer_files(spark, tmp_path, masters_of,
+                                                            messages_of):
+    tables = BatchTables(str(tmp_path))
+    of_one = masters_of([(SITE, "Machine001", "Y")], [tag("Machine001", "T1", "7", "c7")])
+
+    def run(number):
+        texts = [document(lot=f"LOT__00{n}_1") for n in range(3)]
+        rows = messages_of(message_rows(texts, first=10 * number))
+        jobs.write_documents_batch(rows.repartition(3), number, lambda _: of_one, tables, False)
+
+    def rows():
+        found = compaction.read_table(spark, tables, batch.DOCUMENTS)
+        return found, sorted((r["offset"], r["asset_id"], r["batch_id"]) for r in found.collect())
+
+    assert compaction.compact(spark, tables, batch.DOCUMENTS) is None
+    for number in range(5):
+        run(number)
+    before, expected = rows()
+    assert len(expected) == 15
+    assert compaction.compact(spark, tables, batch.DOCUMENTS, ("asset_id",)) == 3
+    after, found = rows()
+    assert found == expected and set(after.columns) == set(before.columns)
+    assert len(after.inputFiles()) < len(before.inputFiles())
+    assert sorted(r["offset"] for r in before.collect()) == [row[0] for row in expected]
+    run(4)  # the newest batch may be written again
+    run(5)
+    assert rows()[1][:15] == expected and len(rows()[1]) == 18
+    assert compaction.compact(spark, tables, batch.DOCUMENTS, ("asset_id",), 2) == 4
+    assert rows()[1][:15] == expected and len(rows()[1]) == 18
+
+
+def test_order_text_does_not_follow_the_clock_change(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        times = ["2024-10-27T00:30:00Z", "2024-10-27T01:10:00.000007Z", "1969-12-31T23:59:59.5Z"]
+        orders = spark.createDataFrame([(time,) for time in times], "t string").selectExpr(
+            "named_struct('timestamp', CAST(t AS timestamp), 'partition', 3, 'offset', 12L) "
+            "AS stat_order").select(relational.order_text().alias("o")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tail = "0000000003" + "00000000000000000012"
+    assert [r["o"] for r in orders] == [
+        f"20241027003000000000{tail}", f"20241027011000000007{tail}", f"19691231235959500000{tail}"]
