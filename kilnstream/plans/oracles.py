@@ -253,6 +253,7 @@ def _over_messages() -> dict[str, str]:
         "stream_dim_refresh": REFRESH,
         "replay_gaps": "SELECT event_id, CAST(1 AS BIGINT) AS n, CAST(event_id // 100 % 3 = 1 "
                        "OR event_id % 7 = 2 AS BIGINT) AS batch_id FROM msg",
+        "stream_duplicates": "SELECT event_id, CAST(1 AS BIGINT) AS n FROM msg",
         "document_compaction": "SELECT event_id, asset_id FROM msg",
         "status_versions": STATUS_UPDATE,
         "stream_chart_series": CHART.format(of=""),

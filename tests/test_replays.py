@@ -4,11 +4,13 @@ import random
 
 from conftest import SITE, asset_frame, code_frame, document, message_rows, tag, tag_frame
 
+from kilnstream import schemas
 from kilnstream.operators import lots, messages
 from kilnstream.plans import batch
 from kilnstream.sinks import compaction, ledger, relational
 from kilnstream.sinks.tables import BatchTables, drop_replayed
 from kilnstream.sinks.versions import RecordedMasters, VersionedTable
+from kilnstream.sources import streams
 from kilnstream.streaming import jobs
 
 PLACE = "topic string, partition int, `offset` bigint"
@@ -157,3 +159,29 @@ def test_order_text_does_not_follow_the_clock_change(spark):
     tail = "0000000003" + "00000000000000000012"
     assert [r["o"] for r in orders] == [
         f"20241027003000000000{tail}", f"20241027011000000007{tail}", f"19691231235959500000{tail}"]
+
+
+def test_messages_sent_again_are_dropped(spark, tmp_path):
+    rows = message_rows(["{}", "{}"]) + [(None, None, None, message_rows(["{}"])[0][3], text)
+                                         for text in ("a", "a", "b", None)]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for number in range(2):
+        spark.createDataFrame(rows + message_rows(["{}"], partition=5 + number), schemas.MESSAGE) \
+            .write.mode("append").parquet(folder)
+        streams.without_repeats(streams.file_stream(spark, folder), "1 hour").writeStream.format(
+            "parquet").option("path", out).option("checkpointLocation", f"{out}_c").trigger(
+            availableNow=True).start().awaitTermination()
+    found = [(r["partition"], r["offset"], r["value"])
+             for r in spark.read.schema(schemas.MESSAGE).parquet(out).collect()]
+    assert sorted(found, key=repr) == sorted(
+        [(0, 0, "{}"), (0, 1, "{}"), (5, 0, "{}"), (6, 0, "{}"), (None, None, "a"),
+         (None, None, "b"), (None, None, None)], key=repr)
+
+
+def test_offsets_to_go_on_from(spark):
+    commits = spark.createDataFrame(
+        [("t", 0, 0, 9), ("t", 0, 10, 19), ("t", 0, 25, 30), ("t", 1, 4, 4), ("u", 2, 0, 0),
+         (None, None, None, None)],
+        "topic string, partition int, min_offset bigint, max_offset bigint")
+    assert streams.resume_offsets(commits) == \
+        '{"t": {"0": 20, "1": 5}, "u": {"2": 1}}'
