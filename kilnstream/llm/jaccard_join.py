@@ -413,8 +413,9 @@ def op13_jaccard_join(spark, sf_dir) -> DataFrame:
     return similar_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), 4, 85)
 
 
-#: Shingles as texts, links by counting common ones, groups by following links.
-ORACLE = """
+def similar_sql(size: int, percent: int) -> str:
+    """Shingles as texts, links by counting common ones, groups by following links."""
+    return f"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, regexp_extract_all(
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -422,8 +423,8 @@ WITH RECURSIVE worded AS (
     FROM documents
 ), sets AS (
     SELECT doc_id, CASE WHEN words IS NULL OR len(words) = 0 THEN CAST([] AS VARCHAR[])
-        WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-        ELSE list_distinct([array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)])
+        WHEN len(words) < {size} THEN [array_to_string(words, ' ')]
+        ELSE list_distinct([array_to_string(words[i:i + {size - 1}], ' ') FOR i IN range(1, len(words) - {size - 2})])
         END AS shingles
     FROM worded
 ), single AS (
@@ -431,9 +432,9 @@ WITH RECURSIVE worded AS (
 ), links AS (
     SELECT a.doc_id AS a, b.doc_id AS b
     FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
-    WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    WHERE 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
     GROUP BY a.doc_id, b.doc_id, a.n, b.n
-    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
 ), reached AS (
     SELECT a AS doc_id, a AS other FROM links
     UNION
@@ -445,3 +446,6 @@ SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
        coalesce(component_id, doc_id) AS component_id
 FROM sets LEFT JOIN named USING (doc_id)
 """
+
+
+ORACLE = similar_sql(4, 85)

@@ -35,6 +35,8 @@ ORACLES = {
     "op1_quotation_linking": quotations.ORACLE,
     "op2_decontamination": decontamination.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
+    "op7_minhash": "SELECT *, doc_id = component_id AS kept "
+                   f"FROM ({jaccard_join.similar_sql(3, 85)})",
     "op10_url_filters": url_filters.ORACLE,
     "op11_fill_in_middle": fill_in_middle.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
