@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from corpus_cases import documents, found  # noqa: F401
 
@@ -137,6 +138,30 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == distance(a, b)
 
 
+def test_edit_distance_stops_only_above_the_limit():
+    random.seed(3)
+    for _ in range(300):
+        a = [random.choice("abcdé") for _ in range(random.randint(0, 90))]
+        b = list(a)
+        for _ in range(random.randint(0, 30) if a else 0):
+            b[random.randrange(len(b))] = random.choice(["", "x", "a", "bc"])
+        a, b = "".join(a), "".join(b)
+        exact = distance(a, b)
+        for most in (0, 5, exact - 1, exact, exact + 1):
+            assert (line_dedup.edit_distance(a, b, most) <= most) == (exact <= most)
+
+
+def test_simhash_is_the_majority_of_bits():
+    random.seed(5)
+    sizes = np.array([1, 3, 254, 255, 256, 700, 5, 70_000])
+    hashes = np.array([random.getrandbits(64) for _ in range(sizes.sum())], np.uint64)
+    found, at = line_dedup.simhash(hashes, sizes), 0
+    for size, sim in zip(sizes, found, strict=True):
+        bits = np.unpackbits(hashes[at:at + size].view(np.uint8).reshape(-1, 8), axis=1)
+        assert np.packbits(2 * bits.sum(axis=0) > size).view(np.int64)[0] == sim
+        at += size
+
+
 def brute_lines(rows):
     """Places by normal form, and places that go, by edit similarity alone."""
     where = defaultdict(list)
@@ -245,10 +270,16 @@ def test_line_dedup_finds_plain_near_copies(documents):
 
 def test_a_crowded_key_loses_no_neighbour(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HELD", 3)
-    rows = [(7, n, n % 2) for n in range(40)] + [(8, 50, 0), (9, 60, 1), (9, 61, 255)]
-    entries = spark.createDataFrame(rows, "key bigint, node bigint, sim bigint").coalesce(1)
-    nodes = {row["node"] for row in line_dedup.neighbours(entries, 3).collect()}
-    assert nodes >= set(range(40)) and 50 not in nodes
+    rows = [(7, n, n % 2, 100) for n in range(40)]
+    rows += [(8, 50, 0, 100), (9, 60, 1, 100), (9, 61, 255, 100)]
+    rows += [(10, 70, 1, 100), (10, 71, 1, 118), (11, 80, 1, 100), (11, 81, 1, 117)]
+    entries = spark.createDataFrame(
+        rows, "key bigint, node bigint, sim bigint, chars bigint").coalesce(1)
+    assert {row["node"] for row in line_dedup.neighbours(entries, 85, 3).collect()} >= {
+        *range(40), 80, 81}
+    monkeypatch.undo()
+    assert {row["node"] for row in line_dedup.neighbours(entries, 85, 3).collect()} == {
+        *range(40), 80, 81}
 
 
 def brute_bytes(rows, length, keep):
