@@ -23,6 +23,7 @@ greatest logit of every document is learned from.
   columns are not looked at, and are kept by ``keep_clean``.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -340,12 +341,19 @@ def learn(
     return fit(texts, toxic)
 
 
+def chunk_scores(
+    model: Network | float, column: pa.Array
+) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Rows ``first`` to ``last`` with their scores, a chunk of texts at a time."""
+    for first, last, data, bounds in bytetext.chunks(column):
+        yield first, last, (model.scores(model.text_logits(data, bounds))
+                            if isinstance(model, Network) else np.full(last - first, model))
+
+
 def batch_scores(model: Network | float, column: pa.Array) -> np.ndarray:
-    if not isinstance(model, Network):
-        return np.full(len(column), model)
     out = np.zeros(len(column))
-    for first, last, data, bounds in bytetext.chunks(column):
-        out[first:last] = model.scores(model.text_logits(data, bounds))
+    for first, last, scores in chunk_scores(model, column):
+        out[first:last] = scores
     return out
 
 
@@ -370,12 +378,16 @@ def score(docs: DataFrame, model: Network | float) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Network | float) -> DataFrame:
-    """The documents, all columns, whose score is below the threshold."""
+    """The documents, all columns, whose score is below the threshold.
+
+    They leave the worker in chunks, so that neither side holds a batch of texts twice.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(batch_scores(shared.value, batch["text"]) < THRESHOLD))
+            for first, last, scores in chunk_scores(shared.value, batch["text"]):
+                yield batch.slice(first, last - first).filter(pa.array(scores < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
 
