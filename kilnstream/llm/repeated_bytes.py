@@ -398,4 +398,6 @@ def remove_repeats(
 
 
 def op8_repeated_bytes(spark, sf_dir) -> DataFrame:
-    return repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """What each document loses, and in ``repeated`` whether it loses anything."""
+    return repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")) \
+        .withColumn("repeated", F.col("n_removed") > 0)
