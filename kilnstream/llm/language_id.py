@@ -10,8 +10,8 @@ steps of 2**-``SCALE`` bit and so is exact and the same on every machine.  The
 language with the shortest code wins.
 
 The fit takes a bounded, documented sample: about ``MOST_DOCS`` documents over
-all languages, in equal parts, and ``MOST_BYTES`` of each.  Every text is scored
-whole.
+all languages, in equal parts, and ``MOST_CHARS`` characters of each, in pieces from
+all over a longer text.  Every text is scored whole.
 
 * null text, or one without a letter: ``und`` with score 0;
 * equal code lengths: the language that sorts first;
@@ -32,7 +32,7 @@ from kilnstream.llm import bytetext, samples
 UNKNOWN = "und"
 ORDER = 3
 MOST_DOCS = 2400
-MOST_BYTES = 8000
+MOST_CHARS = 8000
 LEAST_COUNT = 2
 SCALE = 16
 FOLDS, HELD_OUT = 4, 2
@@ -203,15 +203,17 @@ def predict(
     return docs.select(*columns, "text").mapInArrow(run, schema)
 
 
-def learn(labelled: DataFrame, order: int = ORDER, most_docs: int = MOST_DOCS) -> Trees | None:
+def learn(
+    labelled: DataFrame, order: int = ORDER, most_docs: int = MOST_DOCS,
+    most_chars: int = MOST_CHARS,
+) -> Trees | None:
     """Trees fitted to a bounded sample of rows with ``doc_id, text, lang``."""
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
     n_langs = max(1, rows.select("lang").distinct().count())
-    texts = samples.bounded(rows, "lang", max(1, most_docs // n_langs))
+    texts = samples.bounded(rows, "lang", max(1, most_docs // n_langs), most_chars)
     if not texts:
         return None
-    return fit([text.encode()[:MOST_BYTES] for _, text, _ in texts],
-               [lang for _, _, lang in texts], order)
+    return fit([text.encode() for _, text, _ in texts], [lang for _, _, lang in texts], order)
 
 
 def identify(docs: DataFrame, order: int = ORDER, most_docs: int = MOST_DOCS) -> DataFrame:

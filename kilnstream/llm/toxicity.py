@@ -33,14 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kilnstream.llm import bytetext, samples
+from kilnstream.llm.samples import spread
 
 WINDOW, STRIDE = 32, 16
 STATE, EMBEDDING = 8, 12
 WORD_ROWS, PIECE_ROWS = 1 << 14, 1 << 14
 PIECES = (3, 4)
 MOST_LABELLED, MOST_CHARS = 1200, 12_000
-#: Characters of a piece of a longer text.
-PIECE = 300
 EPOCHS, BATCH, RATE, DECAY = 6, 48, 0.012, 1e-4
 #: Blank texts that are learned as clean beside the labelled ones.
 BLANKS = 16
@@ -291,17 +290,6 @@ def calibrate(network: Network, logits: np.ndarray, labels: np.ndarray) -> None:
     network.scale, network.shift = max(float(scale), 0.05), float(shift)
 
 
-def spread(text: str, most_chars: int):
-    """The text, or pieces of whole words from all over it if it is longer."""
-    last = max(1, most_chars // PIECE - 1)
-    return F.expr(rf"""
-        if(length({text}) <= {most_chars}, {text}, array_join(transform(sequence(0L, {last}L),
-            i -> regexp_replace(
-                substring({text}, 1 + cast(i * (length({text}) - {PIECE}) div {last} AS int), {PIECE}),
-                r'^\S+\s|\s\S+$', '')), ' '))
-    """)
-
-
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, most: int, most_chars: int
 ) -> tuple[list[str], list[int]]:

@@ -129,6 +129,25 @@ def toxic_rows():
     return rows
 
 
+def test_language_is_learned_from_all_of_a_long_text(documents):
+    """Starts that say nothing, longer than what is taken of a text."""
+    random.seed(9)
+    words = {"aa": ["dorun", "kelam", "vosti"], "bb": ["pshet", "grazh", "wyncz"]}
+
+    def text(lang, size):
+        return " ".join(random.choice(words[lang]) for _ in range(size))
+
+    rows = [(n, "0 " * 8000 + text(lang, 4000), lang)
+            for n, lang in enumerate(["aa", "bb"] * 6)]
+    docs = documents([row[:2] for row in rows])
+    labelled = docs.sparkSession.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    trees = language_id.learn(labelled)
+    asked = documents([(n, text(lang, 12)) for n, lang in enumerate(["aa", "bb"] * 4)])
+    assert {row["doc_id"]: row["lang_pred"]
+            for row in language_id.predict(asked, trees).collect()} == {
+        n: lang for n, lang in enumerate(["aa", "bb"] * 4)}
+
+
 def test_toxicity(spark, documents, toxic_rows):
     clean = " ".join(text for _, text, toxic in toxic_rows[:300] if not toxic)
     rows = [row[:2] for row in toxic_rows] + [
