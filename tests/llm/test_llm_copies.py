@@ -6,10 +6,11 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_cases import documents, found  # noqa: F401
 
-from kilnstream.llm import line_dedup, near_duplicates, repeated_bytes
+from kilnstream.llm import edit_distance, line_dedup, near_duplicates, repeated_bytes
 from kilnstream.llm.linking import Workbench, components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -135,7 +136,7 @@ def test_edit_distance():
     for _ in range(500):
         a, b = ("".join(random.choice("abc") for _ in range(random.randint(0, 14)))
                 for _ in range(2))
-        assert line_dedup.edit_distance(a, b) == distance(a, b)
+        assert edit_distance.edit_distance(a, b) == distance(a, b)
 
 
 def test_edit_distance_stops_only_above_the_limit():
@@ -148,7 +149,27 @@ def test_edit_distance_stops_only_above_the_limit():
         a, b = "".join(a), "".join(b)
         exact = distance(a, b)
         for most in (0, 5, exact - 1, exact, exact + 1):
-            assert (line_dedup.edit_distance(a, b, most) <= most) == (exact <= most)
+            assert (edit_distance.edit_distance(a, b, most) <= most) == (exact <= most)
+
+
+@pytest.mark.parametrize("percent", [0, 70, 85, 100])
+def test_distances_of_many_pairs_equal_brute_force(percent, monkeypatch):
+    monkeypatch.setattr(edit_distance, "LONGEST", 150)
+    monkeypatch.setattr(edit_distance, "MATCHES", 400)
+    random.seed(6)
+    pairs = [("", ""), ("", "ab"), ("ab", None), (None, None), ("a" * 64, "b" * 64)]
+    for size in [0, 1, 15, 16, 17, 63, 64, 65, 128, 129, 200] * 12:
+        one = [random.choice("abcé中\U0001F600 ") for _ in range(size)]
+        other = list(one)
+        for _ in range(int(size * random.choice([0, 0.02, 0.1, 0.15, 0.17, 0.4]))):
+            other[random.randrange(len(other))] = random.choice(["", "x", "a", "bc"])
+        pairs.append(("".join(one), "".join(other)))
+    found = edit_distance.alike(*[pa.array(side, pa.string()) for side in zip(*pairs)], percent)
+    assert found.tolist() == [
+        None not in (a, b)
+        and distance(a, b) <= (100 - percent) * max(len(a), len(b)) // 100 for a, b in pairs
+    ]
+    assert edit_distance.alike(pa.array([], pa.string()), pa.array([], pa.string()), 85).size == 0
 
 
 def test_simhash_is_the_majority_of_bits():
@@ -175,7 +196,7 @@ def brute_lines(rows):
         for other in forms[:n]:
             most = (100 - line_dedup.SIMILAR_PERCENT) * max(len(one), len(other))
             if 100 * abs(len(one) - len(other)) <= most \
-                    and 100 * line_dedup.edit_distance(one, other, most // 100) <= most:
+                    and 100 * edit_distance.edit_distance(one, other, most // 100) <= most:
                 groups.join(one, other)
     members = defaultdict(list)
     for form, places in where.items():
