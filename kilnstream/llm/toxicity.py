@@ -10,7 +10,8 @@ The fit takes a bounded, documented sample: about ``MOST_LABELLED`` labelled
 documents of each class that have a text, however long: of more than ``MOST_CHARS``
 characters, so many in pieces spread evenly over the whole text.  A toxic document
 need have only one toxic window, so after the first epoch only the window with the
-greatest logit of every document is learned from.
+greatest logit of every document is learned from.  There are ``EPOCHS`` epochs, or
+as many as give ``LEAST_STEPS`` steps.
 
 * null or empty text, or one without words: one window of blanks, learned as clean;
 * shorter texts than a window are filled up with blanks; long texts have as many
@@ -41,6 +42,8 @@ WORD_ROWS, PIECE_ROWS = 1 << 14, 1 << 14
 PIECES = (3, 4)
 MOST_LABELLED, MOST_CHARS = 1200, 12_000
 EPOCHS, BATCH, RATE, DECAY = 6, 48, 0.012, 1e-4
+#: A small sample has more epochs, so that it takes as many steps.
+LEAST_STEPS = 150
 #: Blank texts that are learned as clean beside the labelled ones.
 BLANKS = 16
 #: Windows that are scored in step.
@@ -252,6 +255,7 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int = 7)
     mean = {name: np.zeros_like(value) for name, value in weights.items()}
     square = {name: np.zeros_like(value) for name, value in weights.items()}
     labels, steps = np.array(toxic, np.float32), 0
+    epochs = max(epochs, -(-LEAST_STEPS * BATCH // len(texts)))
     for epoch in range(epochs):
         order = random.permutation(len(texts))
         for low in range(0, len(order), BATCH):
