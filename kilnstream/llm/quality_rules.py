@@ -3,8 +3,10 @@
 Every text gives two histograms: characters by class, and the common words of
 its language with all other words as one more bin.  The sums over all documents
 of a language are its references.  A document is kept if the Jensen-Shannon
-distance (base 2, 0 to 1) of both histograms from the references is small;
-texts below the least length are not judged by that histogram.
+distance (base 2, 0 to 1) of both histograms from the references is small: that of
+the words beside the distance of a text without any common word of the language,
+which is the greatest that a text of other words can have.  Texts below the least
+length are not judged by that histogram.
 
 Only DataFrame functions are used.  A text never leaves its row: windows of
 words are compared as 64-bit hashes inside the row, and only counts per document
@@ -29,9 +31,10 @@ MOST_REPEATED_PERCENT = 30
 #: Texts with fewer characters or words are not judged by that histogram.
 LEAST_CHARS = 200
 LEAST_JUDGED_WORDS = 80
-#: Greatest distance from the references of the language.
+#: Greatest distance from the references of the language; that of the words as a share
+#: of the distance of a text without common words.
 MOST_CHAR_DISTANCE = 0.25
-MOST_WORD_DISTANCE = 0.45
+MOST_WORD_SHARE = 0.9
 
 #: Common words of each language.
 COMMON_WORDS = {
@@ -41,6 +44,8 @@ COMMON_WORDS = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un"],
 }
 N_COMMON = 12
+#: The histogram of a text without common words.
+NO_COMMON = f"array({'0L, ' * N_COMMON}1L)"
 #: Character classes, each counted among what the ones before have left over.
 CHAR_CLASSES = ["[a-z]+", SPACE, "[A-Z]+", "[0-9]+", r"[\x21-\x7E]+", r"\p{L}+"]
 
@@ -153,7 +158,7 @@ def distance(own: str, reference: str) -> Column:
 def judge(
     docs: DataFrame,
     most_char_distance: float = MOST_CHAR_DISTANCE,
-    most_word_distance: float = MOST_WORD_DISTANCE,
+    most_word_share: float = MOST_WORD_SHARE,
 ) -> DataFrame:
     """Base counts, distances and verdict of every document."""
     folder = shared_folder(docs.sparkSession)
@@ -166,12 +171,13 @@ def judge(
     compared = compared.withColumns({
         "char_distance": distance("chars", "ref_chars"),
         "word_distance": distance("common", "ref_common"),
+        "no_common_distance": distance(NO_COMMON, "ref_common"),
     })
     n_chars = F.expr("aggregate(chars, 0L, (total, n) -> total + n)")
     strange = (
         ((n_chars >= LEAST_CHARS) & (F.col("char_distance") > most_char_distance))
         | ((F.col("n_words") >= LEAST_JUDGED_WORDS)
-           & (F.col("word_distance") > most_word_distance))
+           & (F.col("word_distance") > most_word_share * F.col("no_common_distance")))
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
@@ -241,7 +247,8 @@ WITH base AS (
   FROM base LEFT JOIN repeated r USING (doc_id)
 ), both_histograms AS (
   SELECT *, CASE WHEN found IS NOT NULL
-    THEN list_append(found, n_words - list_sum(found)) END AS common FROM counted
+    THEN list_append(found, n_words - list_sum(found)) END AS common,
+    [{'0, ' * N_COMMON}1] AS no_common FROM counted
 ), refs AS (
   SELECT lang AS ref_lang, {_summed('chars', len(CHAR_CLASSES) + 1)} AS ref_chars,
     {_summed('common', N_COMMON + 1)} AS ref_common
@@ -249,6 +256,7 @@ WITH base AS (
 ), compared AS (
   SELECT *, {_distance('chars', 'ref_chars')} AS char_distance,
     {_distance('common', 'ref_common')} AS word_distance,
+    {_distance('no_common', 'ref_common')} AS no_common_distance,
     n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words
       AS base_failed
   FROM both_histograms LEFT JOIN refs ON lang IS NOT DISTINCT FROM ref_lang
@@ -258,6 +266,6 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(
     (list_sum(chars) >= {LEAST_CHARS} AND char_distance > {MOST_CHAR_DISTANCE})
-    OR (n_words >= {LEAST_JUDGED_WORDS} AND word_distance > {MOST_WORD_DISTANCE}), false) AS kept
+    OR (n_words >= {LEAST_JUDGED_WORDS} AND word_distance > {MOST_WORD_SHARE} * no_common_distance), false) AS kept
 FROM compared
 """
