@@ -1,6 +1,7 @@
 """Language ID, toxicity, quotations and the pipeline."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -190,6 +191,21 @@ def test_toxicity_learns_from_long_texts(spark, documents, toxic_rows):
     assert len(text) > 2500 and set(text.split()) <= {"first", "x", "last"}
 
 
+SMALL = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
+def test_toxicity_of_few_labels_finds_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels)).where("held_out")
+    rows = scored.join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    toxic = [row["predicted"] for row in rows if row["toxic"] == 1]
+    clean = [row["predicted"] for row in rows if row["toxic"] == 0]
+    assert len(toxic) >= 10 and sum(toxic) >= 0.7 * len(toxic)
+    assert sum(clean) <= 0.05 * len(clean)
+
+
 def test_quotations(spark, found):
     rows = [
         ("c", 0, "a", "First line.\nSecond line!"),

@@ -139,6 +139,27 @@ def test_quality_rejects_strange_characters(documents):
     assert not kept[90] and not kept[91] and all(kept[n] for n in range(40))
 
 
+def test_quality_rejects_words_of_no_or_another_language(documents):
+    random.seed(8)
+    content = ["river", "stone", "lamp", "garden", "winter", "harbour", "letter", "window"]
+
+    def prose(lang, n_words, common=0.3):
+        words = quality_rules.COMMON_WORDS[lang]
+        return " ".join(random.choice(words if random.random() < common else content)
+                        for _ in range(n_words))
+
+    least = quality_rules.LEAST_JUDGED_WORDS
+    rows = [(n, prose(lang, random.randint(20, 400)), lang)
+            for n, lang in enumerate(["en", "de", "fr", "es"] * 25)]
+    rows += [(200, prose("en", 400, 0), "en"), (201, prose("en", least, 0), "en"),
+             (202, prose("de", 400), "en"), (203, prose("en", 400), "fr"),
+             (210, prose("en", least - 1, 0), "en"), (211, prose("en", 400, 0.1), "en"),
+             (212, prose("en", 400, 0), None), (213, prose("en", 400, 0), "xx")]
+    rejected = [row["doc_id"] for row in quality_rules.judge(documents(rows)).collect()
+                if not row["base_failed"] and not row["kept"]]
+    assert sorted(rejected) == [200, 201, 202, 203]
+
+
 def brute_glob(glob, text):
     pattern = "".join(
         {"**": "(?s:.*)", "*": "[^/]*", "?": "[^/]"}.get(part, re.escape(part))
