@@ -50,6 +50,8 @@ BLANKS = 16
 LANES = 2048
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
+#: Bytes of texts that are scored at a time: the arrays of a chunk are about sixty times as large.
+SCORED_BYTES = 500_000
 
 BLANK_BYTE, END_BYTE = 1, 2
 
@@ -337,7 +339,7 @@ def chunk_scores(
     model: Network | float, column: pa.Array
 ) -> Iterator[tuple[int, int, np.ndarray]]:
     """Rows ``first`` to ``last`` with their scores, a chunk of texts at a time."""
-    for first, last, data, bounds in bytetext.chunks(column):
+    for first, last, data, bounds in bytetext.chunks(column, SCORED_BYTES):
         yield first, last, (model.scores(model.text_logits(data, bounds))
                             if isinstance(model, Network) else np.full(last - first, model))
 
