@@ -303,6 +303,35 @@ def test_a_crowded_key_loses_no_neighbour(spark, monkeypatch):
         *range(40), 80, 81}
 
 
+def test_copies_of_a_line_are_compared_with_one_of_them(documents, found, monkeypatch):
+    random.seed(29)
+    seen, similar = [], line_dedup.similar
+
+    def noted(pairs, forms, percent):
+        seen.append(pairs.count())
+        return similar(pairs, forms, percent)
+
+    monkeypatch.setattr(line_dedup, "similar", noted)
+    original = ["".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(30)]
+    rows = [(0, " ".join(original))]
+    for n in range(1, 201):
+        words = list(original)
+        words[n % 30] = "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+        rows.append((n, " ".join(words)))
+    left = {row[0]: row[1] for row in found(line_dedup.dedup_lines(documents(rows)))}
+    assert left == {0: rows[0][1], **{n: "" for n in range(1, 201)}}
+    assert sum(seen) <= 400
+
+
+def test_least_edits_never_exceed_the_distance():
+    random.seed(30)
+    words = ["".join(random.choices("abcá \u0161", k=random.randint(1, 12))) for _ in range(400)]
+    one, other = edit_distance.Texts(words[:200]), edit_distance.Texts(words[200:])
+    least = edit_distance._least_edits(one.codes, one.size, other.codes, other.size)
+    exact = [edit_distance.edit_distance(a, b) for a, b in zip(words[:200], words[200:], strict=True)]
+    assert (least <= exact).all() and (least == exact).sum() > 20 and least.max() > 5
+
+
 def brute_bytes(rows, length, keep):
     places = defaultdict(list)
     for n, (_, text) in enumerate(rows):
