@@ -1,9 +1,11 @@
 """What a Python worker holds at a time."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
-from kilnstream.llm import toxicity
+from kilnstream.llm import near_duplicates, toxicity
 
 
 class Sizes(toxicity.Network):
@@ -27,3 +29,21 @@ def test_texts_are_scored_in_small_chunks():
     assert found.tolist() == [1 / (1 + len(text or "")) for text in texts]
     assert sum(network.seen) == sum(len(text or "") for text in texts)
     assert sorted(network.seen)[-2] <= 500_000 and max(network.seen) <= 1_200_000
+
+
+def test_sets_of_shingles_are_made_in_small_chunks():
+    words = [" ".join(f"w{(7 * n + at) % 9973}" for at in range(300)) for n in range(1500)]
+    column = pa.array([None, "", *words])
+    tracemalloc.start()
+    sizes = [len(found) for found in near_duplicates.shingle_sets(column, 5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == [0, 0] + [296] * 1500
+    assert peak < 40_000_000
+
+
+def test_sketches_leave_in_small_steps():
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2500))})
+    parts = list(near_duplicates.steps([batch, batch.slice(0, 0)]))
+    assert [part.num_rows for part in parts] == [1000, 1000, 500]
+    assert [n for part in parts for n in part["doc_id"].to_pylist()] == list(range(2500))
