@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from kilnstream.llm import bytetext
+
 RANKS = "byte_bpe_50k.tiktoken"
 #: Bits of one bitmap word, as a power of two.
 SHIFT = 8
@@ -128,6 +130,8 @@ class ByteBPE:
         known, found = self.known, []
         for piece in self.pattern.findall(text):
             ids = known.get(piece)
+            if ids is None and piece[:1] == " ":
+                ids = self.after_space.get(piece[1:])
             if ids is None:
                 ids = self.merge(piece.encode())
                 if len(piece) <= REMEMBERED_LENGTH and len(known) < REMEMBERED:
@@ -136,8 +140,18 @@ class ByteBPE:
         return found
 
     def spaced(self, word: str) -> tuple[int, ...]:
-        """Token ids of a space and the word after it."""
-        ids = tuple(chain.from_iterable(self.pieces(" " + word)))
+        """Token ids of a space and the word after it.
+
+        What is remembered here is not remembered as a pre-token too: one that begins with
+        a space is a pre-token on its own as well, so its ids are those of the word after it.
+        """
+        whole = " " + word
+        if whole in self.known:
+            ids = self.known[whole]
+        elif len(found := self.pattern.findall(whole)) == 1:
+            ids = self.merge(found[0].encode())
+        else:
+            ids = tuple(chain.from_iterable(self.pieces(whole)))
         if len(word) <= REMEMBERED_LENGTH and len(self.after_space) < REMEMBERED:
             self.after_space[word] = ids
         return ids
@@ -217,6 +231,7 @@ def round_trip(
     path = path or public_tokenizers.path(RANKS)
 
     def run(batches):
+        bytetext.give_back()
         bpe = tokenizer(path, pattern)
         for batch in batches:
             counts, of_ids, of_bytes = [], [], []

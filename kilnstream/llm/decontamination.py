@@ -179,7 +179,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, answer, schema, width: int, bloc
     """``answer(batch, verdicts)`` over all documents, after the passes of all blocks.
 
     The rows carry the document in one column and the hits so far in another,
-    so that no name of a document's column can clash.
+    so that no name of a document's column can clash.  They are looked at, and leave the
+    worker, some at a time, so that neither side holds a batch of texts twice.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
@@ -197,7 +198,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, answer, schema, width: int, bloc
 
         def run(batches, table=table, final=final):
             lookup = GramTable(table.value)
-            for batch in batches:
+            for batch in bytetext.steps(batches):
                 yield search(batch, lookup, answer if final else None)
 
         rows = rows.mapInArrow(run, schema if final else carried)

@@ -3,9 +3,10 @@
 import tracemalloc
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 
-from kilnstream.llm import near_duplicates, toxicity
+from kilnstream.llm import byte_bpe, bytetext, decontamination, near_duplicates, toxicity
 
 
 class Sizes(toxicity.Network):
@@ -47,3 +48,35 @@ def test_sketches_leave_in_small_steps():
     parts = list(near_duplicates.steps([batch, batch.slice(0, 0)]))
     assert [part.num_rows for part in parts] == [1000, 1000, 500]
     assert [n for part in parts for n in part["doc_id"].to_pylist()] == list(range(2500))
+
+
+def test_memory_goes_back_after_the_chunks_of_a_batch(monkeypatch):
+    calls = []
+    monkeypatch.setattr(bytetext, "give_back", lambda: calls.append(1))
+    found = [last for _, last, _, _ in bytetext.chunks(pa.array(["abc", None, "defg"]), 3)]
+    assert found == [2, 3] and calls == [1]
+    monkeypatch.undo()
+    bytetext.give_back()
+
+
+def test_decontaminated_texts_leave_in_small_steps(spark):
+    docs = spark.range(2500).selectExpr("id AS doc_id", "concat('w', id) AS text").coalesce(1)
+    items = spark.createDataFrame([("a", "w7"), ("b", "w2400 w2401")], "item_id string, text string")
+
+    def answer(batch, verdicts):
+        return pa.RecordBatch.from_pydict(
+            {"n": [batch.num_rows], "hits": [sum(verdict.n_hit for verdict in verdicts)]})
+
+    rows = decontamination.scan(docs, items, answer, "n bigint, hits bigint", 13, 1000).collect()
+    assert [row["n"] for row in rows] == [1000, 1000, 500]
+    assert [row["hits"] for row in rows] == [1, 0, 0]
+
+
+def test_words_are_remembered_once():
+    bpe = byte_bpe.ByteBPE(byte_bpe.tokenizer(public_tokenizers.path(byte_bpe.RANKS)).ranks,
+                           public_tokenizers.PATTERN)
+    fresh = byte_bpe.ByteBPE(bpe.ranks, "(?:" + public_tokenizers.PATTERN + ")")
+    texts = ["so zyxwv qqq's end ", "so  zyxwv\n qqq's zyxwv \t end", " zyxwv", "", " \n zyxwv's"]
+    for text in texts:
+        assert bpe.encode(text) == fresh.encode(text)
+    assert "zyxwv" in bpe.after_space and " zyxwv" not in bpe.known
