@@ -278,10 +278,18 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int = 7)
                 step = mean[name] / (1 - 0.9**steps)
                 step /= np.sqrt(square[name] / (1 - 0.99**steps)) + 1e-7
                 weights[name] -= rate * (step + DECAY * weights[name])
-    calibrate(network, network.text_logits(*packed(texts)), labels)
+    calibrate(network, sample_logits(network, texts), labels)
     return network
 
 
+def sample_logits(network: Network, texts: list[str]) -> np.ndarray:
+    """Logits of the texts of a sample, a chunk at a time: the driver holds no more of them either."""
+    return np.concatenate([
+        network.text_logits(data, bounds)
+        for _, _, data, bounds in bytetext.chunks(pa.array(texts, pa.string()), SCORED_BYTES)
+    ])
+
+
 def calibrate(network: Network, logits: np.ndarray, labels: np.ndarray) -> None:
     """Scale and shift that make the scores of the fitted texts likeliest, held back a little."""
     x, scale, shift = logits.astype(np.float64), 1.0, 0.0

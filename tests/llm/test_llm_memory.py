@@ -32,6 +32,13 @@ def test_texts_are_scored_in_small_chunks():
     assert sorted(network.seen)[-2] <= 500_000 and max(network.seen) <= 1_200_000
 
 
+def test_the_sample_is_calibrated_in_small_chunks():
+    texts = ["x" * (9_000 + n) for n in range(200)] + ["", "y" * 1_200_000, "z"]
+    network = Sizes()
+    assert toxicity.sample_logits(network, texts).tolist() == [len(text) for text in texts]
+    assert sorted(network.seen)[-2] <= 500_000 and max(network.seen) <= 1_200_000
+
+
 def test_sets_of_shingles_are_made_in_small_chunks():
     words = [" ".join(f"w{(7 * n + at) % 9973}" for at in range(300)) for n in range(1500)]
     column = pa.array([None, "", *words])
