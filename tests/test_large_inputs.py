@@ -76,3 +76,34 @@ def test_kept_batches_lie_in_bounded_partitions(spark, tmp_path, masters_of, mes
     found = tables.read(spark, batch.DOCUMENTS).select("offset").collect()
     assert sorted(map(repr, (r["offset"] for r in found))) == sorted(repr(r[2]) for r in own)
     assert spread.bounded(messages_of(own[:3])).count() == 3
+
+
+def test_batches_in_few_partitions_are_dealt_to_all_cores(spark, messages_of, monkeypatch):
+    rows = messages_of(message_rows([document('"7": 1.0')] * 200))
+    assert spread.bounded(rows.coalesce(3)).rdd.getNumPartitions() == 3
+    monkeypatch.setattr(spread, "LITTLE_BYTES", 1000, raising=False)
+    for few in (1, 3):
+        dealt = spread.bounded(rows.coalesce(few))
+        assert dealt.rdd.getNumPartitions() == 4
+        assert dealt.exceptAll(rows).isEmpty() and dealt.count() == 200
+    even = spread.bounded(rows.repartition(4, "offset"))
+    assert even.rdd.getNumPartitions() == 4
+    monkeypatch.setattr(spread, "TASK_BYTES", 4000)
+    dealt = spread.bounded(rows.coalesce(2)).rdd.getNumPartitions()
+    assert dealt > 4 and dealt % 4 == 0
+    assert spread.bounded(rows.where("false")).isEmpty()
+
+
+def test_messages_are_typed_before_outputs_are_written_side_by_side(
+        tmp_path, masters_of, messages_of, monkeypatch):
+    masters = masters_of([(SITE, "Machine001", "Y")], [tag("Machine001", "T1", "7", "c7")])
+    frames, loaded = [], []
+    typed, write = cells.typed_messages, jobs._write_all
+    monkeypatch.setattr(cells, "typed_messages", lambda *given: (
+        frames.append(typed(*given)), frames[-1])[1])
+    monkeypatch.setattr(jobs, "_write_all", lambda *given: (loaded.append(
+        frames[-1]._jdf.queryExecution().withCachedData().cacheBuilder()
+        .isCachedColumnBuffersLoaded()), write(*given))[1])
+    rows = messages_of(message_rows([document('"7": 1.0')] * 20)).repartition(3, "offset")
+    jobs.write_documents_batch(rows, 0, lambda _: masters, BatchTables(str(tmp_path)), True)
+    assert loaded == [True]
