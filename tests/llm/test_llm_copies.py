@@ -393,3 +393,15 @@ def test_repeated_rows_and_columns_of_repeats(documents, found):
     assert left.columns == docs.columns
     assert found(left.select("doc_id", "text"))[2][1] in ("tail ", "z" * 10)
     assert repeated_bytes.repeats(docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("length, n_spans", [(399, 0), (400, 1)])
+def test_passages_of_many_words_are_removed_from_400_bytes_on(
+    documents, found, length, n_spans
+):
+    passage = " ".join(f"w{n:04}" for n in range(70))[:length]
+    assert len(passage.split()) > 50
+    rows = [(1, "1" + passage + "2"), (2, "3" + passage + "4"), (3, passage[:200] + "5" * 399)]
+    result = repeated_bytes.repeats(documents(rows))
+    assert found(result) == brute_bytes(rows, 400, "none")
+    assert [r["n_spans"] for r in result.orderBy("doc_id").collect()] == [n_spans, n_spans, 0]
