@@ -172,6 +172,36 @@ def test_distances_of_many_pairs_equal_brute_force(percent, monkeypatch):
     assert edit_distance.alike(pa.array([], pa.string()), pa.array([], pa.string()), 85).size == 0
 
 
+def test_edit_tables_hold_only_the_rows_near_the_diagonal(monkeypatch):
+    held = []
+    counted = np.bitwise_count
+
+    def noted(words):
+        held.append(words.size)
+        return counted(words)
+
+    monkeypatch.setattr(np, "bitwise_count", noted)
+    random.seed(23)
+    one = "".join(random.choices("abcdefgh ", k=6400))
+    other = "x" + "".join(random.choice("yz") if n % 40 == 0 else c for n, c in enumerate(one)) + "w"
+    assert edit_distance.alike(pa.array([one]), pa.array([other]), 85).tolist() == [True]
+    assert 0 < max(held) <= 20  # 100 words hold all rows, 15 those that 15 % of edits can reach
+
+
+def test_long_texts_alone_have_the_same_distance_in_a_band():
+    random.seed(31)
+    one = "".join(random.choices("abcde", k=700))
+    for n_edits in (0, 3, 40, 100, 160):
+        other = list(one)
+        for _ in range(n_edits):
+            other[random.randrange(len(other))] = random.choice(["", "x", "ab"])
+        other = "".join(other)
+        exact = edit_distance.edit_distance(one, other)
+        for most in (exact - 1, exact, exact + 5, 105):
+            found = edit_distance.edit_distance(one, other, max(most, 0))
+            assert found == exact if exact <= most else found > most
+
+
 def test_simhash_is_the_majority_of_bits():
     random.seed(5)
     sizes = np.array([1, 3, 254, 255, 256, 700, 5, 70_000])
@@ -289,6 +319,61 @@ def test_line_dedup_finds_plain_near_copies(documents):
         assert count > 100 and share >= least, change.__name__
 
 
+def test_normal_forms_come_from_the_wanted_lines_only(spark, documents, monkeypatch):
+    texts = ["A b  C\n\nd1 e2 f3\nno no", "", None, "x Y-z\n", "\n\nq w e r", "d0 e0 f0\nlast one here"]
+    rows = documents(list(enumerate(texts))).selectExpr("doc_id", "text", "xxhash64(text) AS text_hash")
+    wanted = {0: [2], 3: [0], 4: [2], 5: [1]}
+    places = []
+    for doc_id, text, text_hash in rows.collect():
+        for number in wanted.get(doc_id, []):
+            data = np.frombuffer(text.split("\n")[number].encode(), np.uint8)
+            [node] = line_dedup.Lines(data, np.array([0, len(data)])).hash.tolist()
+            places.append((node, text_hash, number))
+    places = spark.createDataFrame(places, "node bigint, text_hash bigint, line_no int")
+    lines = line_dedup.Lines
+
+    class Noted(lines):
+        def __init__(self, data, bounds):
+            super().__init__(data, bounds)
+            assert len(self.owner) <= 4
+
+    monkeypatch.setattr(line_dedup, "Lines", Noted)
+    found = line_dedup.normal_forms(rows.coalesce(1), places).collect()
+    assert {form for _, form in found} == {"d0 e0 f0", "x y z", "q w e r", "last one here"}
+    assert {node for node, _ in found} == {row["node"] for row in places.collect()}
+
+
+def test_groups_linked_as_wholes_are_those_of_all_links(spark):
+    bench = line_dedup.Workbench(spark)
+    one = [(2, 1), (3, 1), (5, 4), (9, 8)]
+    more = [(3, 5), (6, 7), (9, 10), (10, 11)]
+
+    def edges(rows):
+        return spark.createDataFrame(rows, "a bigint, b bigint")
+
+    groups = line_dedup.components(bench, edges(one))
+    for links in (more, []):
+        found = line_dedup.joined_groups(bench, groups, edges(links))
+        exact = line_dedup.components(bench, edges(one + links))
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, exact.collect()))
+
+
+def test_lines_meet_under_each_of_their_keys(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GATHERED", 40)
+    monkeypatch.setattr(line_dedup, "PACK", 3)
+    random.seed(41)
+    rows = []
+    for n in range(60):
+        keys = np.array([random.getrandbits(32) for _ in range(line_dedup.BANDS)], np.uint32)
+        keys[n % line_dedup.BANDS] = 0xFFFFFFFF - n // 20
+        rows.append((n, 5, 100, bytearray(keys.tobytes())))
+    lines = spark.createDataFrame(rows, "node bigint, sim bigint, chars bigint, bands binary")
+    found = line_dedup.neighbours(lines.repartition(3), 85, 3).collect()
+    assert sorted((row["node"], row["held_with"]) for row in found) == [(n, 2) for n in range(60)]
+    assert all(row["key"] == (row["node"] % line_dedup.BANDS) << 32 | 0xFFFFFFFF - row["node"] // 20
+               for row in found)
+
+
 def test_a_crowded_key_loses_no_neighbour(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HELD", 3)
     rows = [(7, n, n % 2, 100) for n in range(40)]
