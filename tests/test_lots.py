@@ -85,6 +85,31 @@ def test_command_per_lot_reports_errors_as_rows(messages_of):
     assert sum(r["line"] == "{" for r in bad) == 2
 
 
+def test_payloads_are_made_once_for_the_count_and_the_commands(spark, messages_of):
+    made = spark.sparkContext.accumulator(0)
+    rows = accepted(messages_of(message_rows([document(lot=f"L{n % 3}___001") for n in range(30)])))
+    names = ["lot_no", "topic", "partition", "offset", "timestamp", "payload"]
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    payloads = rows.select(*names)
+    lines = lots.run_on_lots(payloads.mapInArrow(counted, payloads.schema), ["cat"], 4).collect()
+    assert len(lines) == 30 and made.value == 30
+    assert sorted(r["line_no"] for r in lines if r["lot_no"].startswith("L0")) == list(range(10))
+
+
+def test_a_program_is_looked_for_once():
+    lots._found.cache_clear()
+    for text in ("a\n", "b\nc\n"):
+        assert lots._output(["cat"], text, None) == (text.splitlines(), None)
+    assert (lots._found.cache_info().misses, lots._found.cache_info().hits) == (1, 1)
+    assert lots._found("cat").startswith("/")
+    assert lots._output(["no-such-program"], "", None)[1].startswith("not started: ")
+
+
 def test_commands_that_cannot_start_end_or_write_text(messages_of):
     docs = accepted(messages_of(message_rows([document(lot="A____001")])))
 
