@@ -107,3 +107,23 @@ def test_messages_are_typed_before_outputs_are_written_side_by_side(
     rows = messages_of(message_rows([document('"7": 1.0')] * 20)).repartition(3, "offset")
     jobs.write_documents_batch(rows, 0, lambda _: masters, BatchTables(str(tmp_path)), True)
     assert loaded == [True]
+
+
+@pytest.mark.parametrize("task_bytes, in_memory", [(spread.TASK_BYTES, True), (200, False)])
+def test_a_large_batch_is_kept_on_disk_only(
+        spark, tmp_path, masters_of, messages_of, monkeypatch, task_bytes, in_memory):
+    monkeypatch.setattr(spread, "TASK_BYTES", task_bytes)
+    masters = masters_of([(SITE, "Machine001", "Y")], [tag("Machine001", "T1", "7", "c7")])
+    kept, parse, typed = [], jobs.messages.parse_machine_messages, cells.typed_messages
+    monkeypatch.setattr(jobs.messages, "parse_machine_messages", lambda *given: (
+        kept.append(parse(*given)), kept[-1])[1])
+    monkeypatch.setattr(cells, "typed_messages", lambda *given: (
+        kept.append(typed(*given)), kept[-1])[1])
+    levels, write = [], jobs._write_all
+    monkeypatch.setattr(jobs, "_write_all", lambda *given: (
+        levels.extend(frame.storageLevel for frame in kept), write(*given))[1])
+    rows = messages_of(message_rows([document('"7": 1.0')] * 40))
+    tables = BatchTables(str(tmp_path))
+    jobs.write_documents_batch(rows, 0, lambda _: masters, tables, True)
+    assert [(level.useDisk, level.useMemory) for level in levels] == [(True, in_memory)] * 2
+    assert tables.read(spark, batch.CELLS).count() == 40
